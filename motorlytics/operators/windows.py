@@ -98,14 +98,14 @@ def latest_state(silver: DataFrame, order: list[str] | None = None) -> DataFrame
 
 
 def _split_features(rows: DataFrame, seeds: DataFrame | None, order: list[str], first_delta: str,
-                    total_rows: int, rows_per_task: int) -> DataFrame:
+                    total_rows: int, rows_per_run: int) -> DataFrame:
     """Features of vehicles too large for one task: per run, with context taken from the runs before.
 
     Each run is first reduced to one summary row (its last 19 rows, its first and last time, the
     sessions that start inside it). A window over a vehicle's summaries, which are few, gives every run
     its context rows and session count; then all runs are computed independently.
     """
-    stored = in_runs(rows, ["vehicle_id"], order, total_rows, rows_per_task)
+    stored = in_runs(rows, ["vehicle_id"], order, total_rows, rows_per_run)
     keys = ["vehicle_id", RUN]
     by_time = Window.partitionBy(*keys).orderBy(*order)
     narrow = stored.select(*keys, *order, *[c for c in _CONTEXT_FIELDS if c not in order])
@@ -151,14 +151,15 @@ def silver_telemetry(
     first_delta: str = "null",
     seeds: DataFrame | None = None,
     rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_run: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Bronze rows with rolling means, anomaly context, temperature change and sessions.
 
     ``first_delta`` is the change of a vehicle's first reading: ``"null"``, or ``"zero_base"`` for the
     full reading. ``seeds`` (see ``latest_state``) continues from rows processed earlier. Vehicles with
-    more than ``rows_per_task`` rows are computed in runs; a narrow count finds them first, and
-    ``rows_per_task=None`` skips that count for input known to have none.
+    more than ``rows_per_task`` rows are computed in runs (of ``rows_per_run``, by default as many rows);
+    a narrow count finds them first, and ``rows_per_task=None`` skips it for input known to have none.
     """
     if first_delta not in ("null", "zero_base"):
         raise ValueError("first_delta is 'null' or 'zero_base'")
@@ -183,7 +184,7 @@ def silver_telemetry(
         return None if df is None else df.join(names, "vehicle_id", how)
 
     split = _split_features(part_of(rows, "left_semi"), part_of(seeds, "left_semi"), order, first_delta,
-                            sum(r["_rows"] for r in large), rows_per_task)
+                            sum(r["_rows"] for r in large), rows_per_run or rows_per_task)
     rest = whole(part_of(rows, "left_anti"), part_of(seeds, "left_anti"))
     return rest.select(*output).unionByName(split.select(*output))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -20,6 +22,7 @@ TREES, DEPTH, LEARNING_RATE, SEED = 100, 5, 0.1, 42
 
 FEATURES = (*NUMERIC_FEATURES, "vehicle_class")
 _CODE = "vehicle_class_code"
+ROWS_PER_PARTITION = 100_000
 
 
 def model_input(features: DataFrame) -> DataFrame:
@@ -36,16 +39,17 @@ def risk_stages(trees: int = TREES) -> Pipeline:
     return Pipeline(stages=[indexer, assembler, booster])
 
 
-def balance_weights(train: DataFrame) -> DataFrame:
-    """Positives weigh negatives / positives, so that both labels count equally."""
-    weight = class_balance(train).first()["scale_pos_weight"]
-    return train.withColumn("weight", F.when(F.col("is_at_risk") == 1, weight).otherwise(1.0))
-
-
 def fit_risk_model(train: DataFrame, trees: int = TREES) -> PipelineModel:
-    """Fit on training rows, one per vehicle; boosting reads them many times, so they stay in memory or on disk."""
-    weighted = balance_weights(model_input(train)).select(*FEATURES, "is_at_risk", "weight")
-    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit on training rows, one per vehicle. Positives weigh negatives / positives, so both labels count equally.
+
+    Boosting reads the rows hundreds of times: they stay in memory or on disk, in partitions sized to
+    their number rather than to the history they were computed from.
+    """
+    balance = class_balance(train).first()
+    weight = F.when(F.col("is_at_risk") == 1, balance["scale_pos_weight"]).otherwise(1.0)
+    partitions = math.ceil((balance["negatives"] + balance["positives"]) / ROWS_PER_PARTITION) or 1
+    weighted = model_input(train).select(*FEATURES, "is_at_risk", weight.alias("weight"))
+    weighted = weighted.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return risk_stages(trees).fit(weighted)
     finally:

@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 # All event times are UTC instants. Duplicate JSON keys keep the last value, as most JSON readers do.
+# Sessions merge on the map side, so a busy vehicle does not ship every reading.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.sessionWindow.mergeSessions.inLocalPartition": "true",
 }
 
 # Only for sessions this module builds; a cluster brings its own sizing.
@@ -19,8 +21,6 @@ BUILD_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Sessions are merged on the map side, so one busy vehicle does not ship every reading.
-    "spark.sql.sessionWindow.mergeSessions.inLocalPartition": "true",
 }
 
 
@@ -36,7 +36,7 @@ def build_session(app: str = "motorlytics", master: str | None = None, **setting
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session somebody else built."""
+    """Apply the runtime settings the package counts on to a session somebody else built."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
