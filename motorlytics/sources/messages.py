@@ -107,24 +107,25 @@ def _parts(value: Column, fields: tuple[str, ...]) -> Column:
     return F.try_variant_get(value, "$", "struct<" + ", ".join(f"{f}: variant" for f in fields) + ">")
 
 
-def _wrong_type(message: Column) -> Column:
-    """Name of the first declared field that is present with another type, looked up field by field."""
+def _looked_up_defect(text: Column) -> Column:
+    """What is wrong with a message, found field by field; NULL when nothing is."""
 
     def first_wrong(parts: Column) -> Column:
         top, obd, gps = parts["top"], parts["obd"], parts["gps"]
-        return F.coalesce(
+        wrong = F.coalesce(
             *[_mistyped(top[name], name, _is_string) for name in IDENTITY_FIELDS],
             *[_mistyped(top[name], name, _is_object) for name in ("obd", "gps")],
             *[_mistyped(obd[name], f"obd.{name}", _is_number) for name in OBD_FIELDS],
             *[_mistyped(gps[name], f"gps.{name}", _is_number) for name in GPS_FIELDS],
         )
+        return F.when(top.isNull(), "malformed_json").otherwise(F.concat(F.lit("wrong_type:"), wrong))
 
-    def split(top: Column) -> Column:
-        return F.struct(top.alias("top"), _parts(top["obd"], OBD_FIELDS).alias("obd"),
-                        _parts(top["gps"], GPS_FIELDS).alias("gps"))
+    def split(message: Column) -> Column:
+        top = _parts(message, (*IDENTITY_FIELDS, "obd", "gps"))
+        return F.struct(top.alias("top"), _parts(F.try_variant_get(message, "$.obd", "variant"), OBD_FIELDS).alias("obd"),
+                        _parts(F.try_variant_get(message, "$.gps", "variant"), GPS_FIELDS).alias("gps"))
 
-    tops = F.array(_parts(message, (*IDENTITY_FIELDS, "obd", "gps")))
-    return F.transform(F.transform(tops, split), first_wrong)[0]
+    return F.transform(F.transform(F.array(F.try_parse_json(text)), split), first_wrong)[0]
 
 
 _CORRUPT = "_corrupt"
@@ -134,7 +135,12 @@ _READ_SCHEMA = "struct<{}, obd: struct<{}>, gps: struct<{}>, {}: string>".format
     ", ".join(f"{f}: double" for f in GPS_FIELDS),
     _CORRUPT,
 )
-_READ_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowNonNumericNumbers": "false"}
+_READ_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowNonNumericNumbers": "false",
+    "allowSingleQuotes": "false",
+}
 
 
 def decode_messages(messages: DataFrame, value: str = "value", framed: bool = False) -> DataFrame:
@@ -146,25 +152,23 @@ def decode_messages(messages: DataFrame, value: str = "value", framed: bool = Fa
     that no table could hold (no vehicle, no usable time) is rejected here rather than at the write.
     Extra fields are ignored.
 
-    A typed read gives the values but cannot tell a missing key from a null, and stops at the end of the
-    first value; the variant parse covers the whole text. Field-by-field checks run only for messages
-    where the typed read left something open.
+    A typed read gives the values, but it stops at the end of the first value and cannot tell a missing
+    key from a null. Counting the elements of ``[<text>, 0]`` covers the whole text; field-by-field
+    checks run only for the messages in which the typed read left something open.
     """
     kept = [c for c in messages.columns if c != value]
     text = messages.withColumn(value, message_text(F.col(value), framed))
-    read = text.select(
-        *kept, value,
-        F.try_parse_json(value).alias("_message"),
-        F.from_json(value, _READ_SCHEMA, _READ_OPTIONS).alias("_read"),
-    )
+    read = text.select(*kept, value, F.from_json(value, _READ_SCHEMA, _READ_OPTIONS).alias("_read"))
     texts = [F.col(f"_read.{name}") for name in IDENTITY_FIELDS]
     numbers = [F.col(f"_read.obd.{name}") for name in OBD_FIELDS] + [F.col(f"_read.gps.{name}") for name in GPS_FIELDS]
-    is_open = F.col(f"_read.{_CORRUPT}").isNotNull() | reduce(or_, [n.isNull() for n in numbers])
+    is_corrupt = F.col(f"_read.{_CORRUPT}").isNotNull()
+    is_open = is_corrupt | reduce(or_, [n.isNull() for n in numbers])
     is_open = is_open | reduce(or_, [t.isNull() | ~_is_string(F.schema_of_variant(t)) for t in texts])
+    elements = F.json_array_length(F.concat(F.lit("["), F.col(value), F.lit(", 0]")))
     defect = (
-        F.when(F.col("_message").isNull(), "malformed_json")
-        .when(~F.ltrim(value).startswith("{"), "not_an_object")
-        .when(is_open, F.concat(F.lit("wrong_type:"), _wrong_type(F.col("_message"))))
+        F.when(F.coalesce(elements, F.lit(0)) != 2, "malformed_json")
+        .when(~F.col(value).rlike(r"^\s*\{"), "not_an_object")
+        .when(is_open, F.coalesce(_looked_up_defect(F.col(value)), F.when(is_corrupt, "malformed_json")))
     )
     row = F.struct(
         *[F.try_variant_get(t, "$", "string").alias(name) for t, name in zip(texts, IDENTITY_FIELDS)],
