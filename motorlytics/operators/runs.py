@@ -26,16 +26,16 @@ def in_runs(rows: DataFrame, keys: list[str], order: list[str], total_rows: int,
     """``rows`` with a run number: runs ascend with (keys, order) and hold about ``rows_per_run`` rows.
 
     The numbers are read several times by later steps and must not change, so the rows are written to
-    the shared scratch folder and read back. The last sort key only separates rows that are equal in
-    every column, which are interchangeable, so that even copies of one row spread over runs.
+    the shared scratch folder and read back. The last two sort keys only separate rows equal in (keys,
+    order): by content, and then, for copies of one row, which are interchangeable, by position. So even
+    copies of one row spread over runs, and a task that runs again cannot move a row to another run.
     """
     spark = rows.sparkSession
     runs = max(1, math.ceil(total_rows / rows_per_run))
-    others = [c for c in rows.columns if c not in (*keys, *order)]
     ranged = (
-        rows.withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange(runs, *keys, *order, *others, "_copy")
-        .drop("_copy")
+        rows.withColumns({"_content": F.xxhash64(*rows.columns), "_copy": F.monotonically_increasing_id()})
+        .repartitionByRange(runs, *keys, *order, "_content", "_copy")
+        .drop("_content", "_copy")
         .withColumn(RUN, F.spark_partition_id())
     )
     path = scratch_path(spark, "runs")

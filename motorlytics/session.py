@@ -42,6 +42,15 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 128 * 1024**2, at_least: int = 8) -> int:
+    """``spark.sql.shuffle.partitions`` for a job over ``input_bytes`` of shuffled rows.
+
+    AQE joins partitions that turn out small but never splits one that is too large for a window or an
+    aggregate, so the setting has to be high enough: about 800,000 for 100 TB, not the default 200.
+    """
+    return max(at_least, -(-input_bytes // partition_bytes))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared checkpoint directory for a table that cuts lineage.
 

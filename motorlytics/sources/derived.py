@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from motorlytics.sources.tables import spread
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -106,5 +108,9 @@ def telemetry(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """The same readings as raw JSON text (``seq``, ``value``)."""
-    return spark.sql(message_sql(SPARK, f"({telemetry_sql(SPARK, _scan(folder))}) telemetry"))
+    """The same readings as raw JSON text (``seq``, ``value``), on all cores even when the table is one file."""
+    events = spread(spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id"))
+    query = message_sql(SPARK, f"({telemetry_sql(SPARK, '@events')}) telemetry")
+    # Braces of the JSON text are doubled, because the query is formatted to bind the table.
+    query = query.replace("{", "{{").replace("}", "}}").replace("@events", "{events}")
+    return spark.sql(query, events=events)

@@ -20,6 +20,7 @@ FRAME_BYTES = 5
 # --- end of fixed values ---
 
 REJECT = "reject_reason"
+OFFSETS_PER_PARTITION = 2**44
 
 
 def broker_options(servers: str, username: str | None = None, password: str | None = None) -> dict[str, str]:
@@ -58,12 +59,11 @@ def topic_source_options(
 
 
 def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Messages of a topic as a stream; the broker offset is the ingest number within its partition."""
+    """Messages of a topic as a stream, each with a unique ingest number that ascends within its partition."""
     source = spark.readStream.format("kafka").options(**options).load()
     return source.select(
         "value",
-        F.col("partition").alias("source_partition"),
-        F.col("offset").alias("seq"),
+        (F.col("partition").cast("long") * OFFSETS_PER_PARTITION + F.col("offset")).alias("seq"),
         F.col("timestamp").alias("ingest_time"),
     )
 

@@ -58,6 +58,15 @@ def rebuild_table(df: DataFrame, name: str, order: str = "vehicle_id") -> None:
     df.sortWithinPartitions(order).write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of few files as many partitions as there are cores before heavy work on each row.
+
+    Input that already has that many stays as it is, so large tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_empty(df: DataFrame) -> bool:
     """True when a table has no rows; reads at most one."""
     return df.isEmpty()

@@ -74,6 +74,13 @@ def _decoded(spark: SparkSession, folder: str) -> DataFrame:
     return messages.decode_messages(derived.messages(spark, folder))
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a stored table, for steps that read what an earlier run has stored."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 SILVER_OUT = ("seq", *SILVER_COLUMNS)
 METRICS_OUT = ("vehicle_id", "vehicle_model", "vehicle_class", "avg_coolant_temp", "max_coolant_temp",
                "avg_battery_voltage", "min_battery_voltage", "avg_rpm", "total_anomaly_count", "total_readings",
@@ -223,7 +230,7 @@ def silver_incremental_continuous(spark, folder):
     """Two arrivals, the second with late readings, give the silver of one full refresh."""
     rows = _bronze(spark, folder)
     is_first = (F.col("timestamp") <= kpis.as_of_column(CUTOFF)) & (F.col("seq") % 500 != 7)
-    stored = windows.silver_telemetry(rows.filter(is_first), keep=("seq",))
+    stored = _written(windows.silver_telemetry(rows.filter(is_first), keep=("seq",)), "silver")
     refresh = incremental.continuous_refresh(rows.filter(~is_first), stored)
     return shown(incremental.refreshed(stored, refresh), *SILVER_OUT)
 
