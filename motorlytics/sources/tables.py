@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +60,17 @@ def rebuild_table(df: DataFrame, name: str, order: str = "vehicle_id") -> None:
     df.sortWithinPartitions(order).write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def publish(df: DataFrame, view: str, path: str, order: str = "vehicle_id") -> None:
+    """Replace what ``view`` shows: write a new folder under ``path``, then switch the view to it.
+
+    Readers see the old rows until the new ones are complete, and a run that fails changes nothing.
+    """
+    spark = df.sparkSession
+    target = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.sortWithinPartitions(order).write.parquet(target)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{target}`")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give an input of few files as many partitions as there are cores before heavy work on each row.
 

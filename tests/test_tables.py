@@ -1,5 +1,6 @@
 """Stored tables: creation, layout, rebuilds, merges, views."""
 
+import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
@@ -49,6 +50,20 @@ def test_rebuild_and_empty(spark, tmp_path):
     spark.sql("DROP TABLE health_made_here")
 
 
+def test_publish_switches_when_complete(spark, tmp_path):
+    def predictions(n):
+        return spark.range(n).selectExpr("CAST(id AS string) AS vehicle_id", "0.5D AS risk_probability")
+
+    tables.publish(predictions(2), "predictions_made_here", str(tmp_path))
+    tables.publish(predictions(3), "predictions_made_here", str(tmp_path))
+    assert spark.table("predictions_made_here").count() == 3
+    broken = predictions(3).selectExpr("raise_error('no') AS vehicle_id")
+    with pytest.raises(Exception):
+        tables.publish(broken, "predictions_made_here", str(tmp_path))
+    assert spark.table("predictions_made_here").count() == 3
+    spark.sql("DROP VIEW predictions_made_here")
+
+
 def test_merge_replaces_by_key(bronze_rows):
     target = bronze_rows([("A", 0), ("A", 1), ("B", 0)])
     updates = bronze_rows([("A", 1, dict(rpm=1.0), 9), ("C", 0, {}, 10)])
