@@ -35,6 +35,54 @@ def vehicle_metrics(silver: DataFrame, approximate_sessions: bool = False) -> Da
     )
 
 
+# Mean measures of a vehicle and the silver column each is the mean of.
+_MEANS = {
+    "avg_coolant_temp": "coolant_temp",
+    "avg_battery_voltage": "battery_voltage",
+    "avg_rpm": "rpm",
+    "avg_maf": "rolling_avg_maf",
+    "avg_rolling_anomaly_count": "rolling_anomaly_count",
+}
+_LOWEST = ("vehicle_model", "vehicle_class", "min_battery_voltage")
+_HIGHEST = ("max_coolant_temp", "max_coolant_temp_delta", "total_sessions")
+_ADDED = ("total_anomaly_count", "total_readings", *[f"{m}_{part}" for m in _MEANS for part in ("sum", "count")])
+
+
+def vehicle_totals(silver: DataFrame) -> DataFrame:
+    """Metrics in a form that can be added up: sums and counts instead of means.
+
+    Sessions are counted by the highest number, which needs numbers that run on from 1 as in a full or
+    continuous refresh.
+    """
+    sums = [F.sum(F.col(c).cast("double")).alias(f"{m}_sum") for m, c in _MEANS.items()]
+    counts = [F.count(c).alias(f"{m}_count") for m, c in _MEANS.items()]
+    return silver.groupBy("vehicle_id").agg(
+        F.min("vehicle_model").alias("vehicle_model"),
+        F.min("vehicle_class").alias("vehicle_class"),
+        F.min("battery_voltage").alias("min_battery_voltage"),
+        F.max("coolant_temp").alias("max_coolant_temp"),
+        F.max("coolant_temp_delta").alias("max_coolant_temp_delta"),
+        F.max("session_id").alias("total_sessions"),
+        F.sum("anomaly_flag").alias("total_anomaly_count"),
+        F.count(F.lit(1)).alias("total_readings"),
+        *sums, *counts,
+    )
+
+
+def merge_totals(totals: DataFrame) -> DataFrame:
+    """Totals of disjoint sets of readings, combined per vehicle."""
+    return totals.groupBy("vehicle_id").agg(
+        *[F.min(c).alias(c) for c in _LOWEST],
+        *[F.max(c).alias(c) for c in _HIGHEST],
+        *[F.sum(c).alias(c) for c in _ADDED],
+    )
+
+
+def metrics_from_totals(totals: DataFrame) -> DataFrame:
+    means = [F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_count")).alias(m) for m in _MEANS]
+    return totals.select("vehicle_id", *_LOWEST, *_HIGHEST, "total_anomaly_count", "total_readings", *means)
+
+
 def health_breakdown(metrics: DataFrame) -> DataFrame:
     """Metrics with the anomaly rate, each penalty and the score."""
     rated = metrics.withColumn("anomaly_rate", F.col("total_anomaly_count") / F.col("total_readings"))

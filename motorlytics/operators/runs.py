@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorlytics.session import scratch_path
+from motorlytics.session import written
 
 RUN = "_run"
 
@@ -30,7 +30,6 @@ def in_runs(rows: DataFrame, keys: list[str], order: list[str], total_rows: int,
     order): by content, and then, for copies of one row, which are interchangeable, by position. So even
     copies of one row spread over runs, and a task that runs again cannot move a row to another run.
     """
-    spark = rows.sparkSession
     runs = max(1, math.ceil(total_rows / rows_per_run))
     ranged = (
         rows.withColumns({"_content": F.xxhash64(*rows.columns), "_copy": F.monotonically_increasing_id()})
@@ -38,6 +37,4 @@ def in_runs(rows: DataFrame, keys: list[str], order: list[str], total_rows: int,
         .drop("_content", "_copy")
         .withColumn(RUN, F.spark_partition_id())
     )
-    path = scratch_path(spark, "runs")
-    ranged.write.parquet(path)
-    return spark.read.schema(ranged.schema).parquet(path)
+    return written(ranged, "runs")

@@ -246,6 +246,7 @@ SQL: dict[str, str] = {
     "vehicle_metrics": with_(*_SILVER, METRICS) + f"SELECT {_METRIC_OUT}, round(avg_maf, 6) AS avg_maf FROM metrics",
     "health_breakdown": with_(*_GOLD) + f"SELECT vehicle_id, {rounded('anomaly_rate', *_PENALTIES)}, health_score FROM breakdown",
     "gold_vehicle_health": with_(*_GOLD) + f"SELECT {_METRIC_OUT}, round(anomaly_rate, 6) AS anomaly_rate, health_score FROM breakdown",
+    "gold_stream": with_(*_GOLD) + f"SELECT {_METRIC_OUT}, round(anomaly_rate, 6) AS anomaly_rate, health_score FROM breakdown",
     "gold_from_messages": with_(*_DECODED, flagged("typed", "checked"), "bronze AS (SELECT seq, "
         + _STORED.replace("CAST(CAST(", "CAST(").replace(" AS FLOAT) AS DOUBLE)", " AS FLOAT)") + " FROM checked)",
         silver("bronze"), METRICS, BREAKDOWN)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from motorlytics.operators import evaluation, health, incremental, quality, readings, windows
 from motorlytics.plans import kpis, layers, risk
-from motorlytics.schemas import GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS
-from motorlytics.session import scratch_path
+from motorlytics.schemas import (
+    BRONZE_COLUMNS, BRONZE_SCHEMA, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
+)
+from motorlytics.session import scratch_path, written
 from motorlytics.sources import derived, messages
+from motorlytics.sources.tables import merge_by_key, read_telemetry
 from motorlytics.streaming import ingest, live
 from motorlytics.streaming.refresh import SilverStore
 
@@ -74,13 +77,6 @@ def _decoded(spark: SparkSession, folder: str) -> DataFrame:
     return messages.decode_messages(derived.messages(spark, folder))
 
 
-def _written(rows: DataFrame, label: str) -> DataFrame:
-    """``rows`` as a stored table, for steps that read what an earlier run has stored."""
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 SILVER_OUT = ("seq", *SILVER_COLUMNS)
 METRICS_OUT = ("vehicle_id", "vehicle_model", "vehicle_class", "avg_coolant_temp", "max_coolant_temp",
                "avg_battery_voltage", "min_battery_voltage", "avg_rpm", "total_anomaly_count", "total_readings",
@@ -230,15 +226,13 @@ def silver_incremental_continuous(spark, folder):
     """Two arrivals, the second with late readings, give the silver of one full refresh."""
     rows = _bronze(spark, folder)
     is_first = (F.col("timestamp") <= kpis.as_of_column(CUTOFF)) & (F.col("seq") % 500 != 7)
-    stored = _written(windows.silver_telemetry(rows.filter(is_first), keep=("seq",)), "silver")
+    stored = written(windows.silver_telemetry(rows.filter(is_first), keep=("seq",)), "silver")
     refresh = incremental.continuous_refresh(rows.filter(~is_first), stored)
     return shown(incremental.refreshed(stored, refresh), *SILVER_OUT)
 
 
 @query
 def silver_upsert(spark, folder):
-    from motorlytics.sources.tables import merge_by_key
-
     rows = _silver(spark, folder)
     cutoff = kpis.as_of_column(CUTOFF)
     stored = rows.filter(F.col("timestamp") <= cutoff)
@@ -425,7 +419,8 @@ def stream_bronze(spark, folder):
     stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze")
     ingest.start_bronze(stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
                         interval=None).awaitTermination()
-    return shown(spark.read.parquet(f"{root}/bronze").drop("batch_id", "event_date"))
+    return shown(read_telemetry(spark, f"{root}/bronze", BRONZE_SCHEMA, seq="long", batch_id="long"),
+                 "seq", *BRONZE_COLUMNS)
 
 
 @query
@@ -458,13 +453,23 @@ def stream_dedupe(spark, folder):
     return shown(_drained(live.without_duplicates(stream), root), "vehicle_id", "timestamp")
 
 
-@query
-def silver_stream(spark, folder):
-    """Three files arrive as three micro-batches; the stored silver equals one full refresh."""
+def _streamed_store(spark: SparkSession, folder: str) -> SilverStore:
     root = scratch_path(spark, "stream-silver")
     rows = _bronze(spark, folder)
     rows.repartitionByRange(3, "timestamp").write.parquet(f"{root}/input")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/input")
     store = SilverStore(spark, f"{root}/silver")
     store.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
-    return shown(store.read(), *SILVER_OUT)
+    return store
+
+
+@query
+def silver_stream(spark, folder):
+    """Three files arrive as three micro-batches; the stored silver equals one full refresh."""
+    return shown(_streamed_store(spark, folder).read(), *SILVER_OUT)
+
+
+@query
+def gold_stream(spark, folder):
+    """Health from the totals that the batches have added up."""
+    return shown(_streamed_store(spark, folder).health(), *HEALTH_OUT)
