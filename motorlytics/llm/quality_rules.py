@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import table
+from motorlytics.llm.common import let, table
 
 # The base rule.
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
@@ -33,11 +33,6 @@ CAPITALS = r"(?<![^\x20\x09-\x0D])[A-Z][A-Z]+[.,!?;:]*(?![^\x20\x09-\x0D])"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, wherever the optimizer moves the expression."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def window_hashes(words: Column) -> Column:
     """A long for each 3-word window: 32 bits of its hash, then its place; sorted."""
     hashed = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: (

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, license_scan, quality_rules
+from motorlytics.llm import byte_bpe, license_scan, quality_rules, secret_scan
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 
 SQL = {
     "op2_quality_rules": quality_rules.SQL,
+    "op3_secret_scan": secret_scan.SQL,
 }
