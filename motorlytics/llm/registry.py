@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, license_scan, quality_rules, secret_scan
+from motorlytics.llm import byte_bpe, license_scan, quality_rules, secret_scan, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op5_simhash": simhash.op5_simhash,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 
