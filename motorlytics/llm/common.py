@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +59,8 @@ def many_partitions(spark: SparkSession) -> int:
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, wherever the optimizer moves the expression."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a shared folder and the folder's path there; works on the driver and in tasks."""
+    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", uri))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash
+from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, token_store
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op5_simhash": simhash.op5_simhash,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_token_store": token_store.op8_token_store,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
