@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, token_store
+from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, suffix_dedup, token_store
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_token_store": token_store.op8_token_store,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
