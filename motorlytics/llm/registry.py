@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, suffix_dedup, token_store
+from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op5_simhash": simhash.op5_simhash,
+    "op6_warc": warc.op6_warc,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_token_store": token_store.op8_token_store,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
@@ -18,4 +19,5 @@ QUERIES = {
 SQL = {
     "op2_quality_rules": quality_rules.SQL,
     "op3_secret_scan": secret_scan.SQL,
+    "op6_warc": warc.SQL,
 }
