@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from motorlytics.llm import byte_bpe, decontaminate, license_scan, quality_rules, secret_scan, simhash, suffix_dedup, token_store, warc
+from motorlytics.llm import byte_bpe, decontaminate, language_id, license_scan, quality_rules, secret_scan, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_language_id": language_id.op4_language_id,
     "op5_simhash": simhash.op5_simhash,
     "op6_warc": warc.op6_warc,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
