@@ -31,7 +31,7 @@ from motorlytics.session import scratch_path, written
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 FILE_TOKENS = 4_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 800_000
 CHUNK, RANK_BITS, MAGIC = 8, 512, b"DACIDS1\n"
 _TAIL = b".,!?;:*#$%&|<>()[]{}+=/\\\"-_~^@`"
 
