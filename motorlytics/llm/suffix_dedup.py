@@ -172,7 +172,8 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, hot: int = HOT_SNIPP
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     every = written(snippets(texts, length), "suffix-anchors")
-    often = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # the counts are a table of their own: then the join reads plain shuffles, of which a hot anchor's part can be split
+    often = written(every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "suffix-often")
     every = written(every.join(often, "anchor", "left_semi"), "suffix-repeated")
     kinds = every.groupBy("anchor", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash", "first", "n")).alias("at"))
@@ -196,6 +197,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, hot: int = HOT_SNIPP
     found = written(found, "suffix-snippets").dropDuplicates(["anchor", "digest"])
     marked = same.unionByName(sharded(found.where(F.col("variants") <= hot), length)).unionByName(
         by_hash(found.where(F.col("variants") > hot), length)).where(F.size("runs") > 0)
+    marked = written(marked, "suffix-marked")
     span = F.transform("runs", lambda r: F.struct((F.col("first") + r["a"]).alias("start"), (F.col("first") + r["b"] + (length - 1)).alias("end")))
     return every.join(marked, ["anchor", "digest"]).select("doc_id", "text_hash", span.alias("spans")).distinct().groupBy(
         "doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
