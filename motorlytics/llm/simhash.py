@@ -345,7 +345,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, most: int
         one = one.withColumn("id", node)
     one = one.join(components(edges), "id", "left").withColumn("node", F.coalesce("component", "id")).select("fp", "node", "least")
     named = one.groupBy("node").agg(F.min("least").alias("component_id"))
-    return prints.join(one.join(named, "node").select("fp", "node", "component_id"), "fp").select(
+    named = written(one.join(named, "node").select("fp", "node", "component_id"), "simhash-classes")
+    return prints.join(named, "fp").select(
         "doc_id", "text_hash", "fp", "node", "component_id")
 
 
