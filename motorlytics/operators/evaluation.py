@@ -29,19 +29,21 @@ def stratified_split(df: DataFrame, label: str = "is_at_risk", key: str = "vehic
     """Add ``is_test``: per label, exactly the first ``ceil(share * n)`` rows by a seeded hash of the key.
 
     The exact rank comes from two levels: rows before a hash prefix (65,536 prefixes, so a small table)
-    plus the rank inside the prefix. No label, however frequent, is ordered in one task.
+    plus the rank inside the prefix. No label, however frequent, is ordered in one task. Rows without a label are
+    a stratum of their own, and a missing key counts as an empty one, so every row stays.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))))
+    hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col(key).cast("string"), F.lit("")))))
     hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, 4))
     sizes = hashed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     by_prefix = Window.partitionBy(label).orderBy("_prefix")
     before = sizes.select(
-        label, "_prefix",
+        F.col(label).alias("_label"), F.col("_prefix").alias("_from"),
         F.coalesce(F.sum("_n").over(by_prefix.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(label)).alias("_label_rows"),
     )
     inside = Window.partitionBy(label, "_prefix").orderBy("_hash", key)
-    ranked = hashed.withColumn("_rank", F.row_number().over(inside)).join(before, [label, "_prefix"])
+    ranked = hashed.withColumn("_rank", F.row_number().over(inside)).join(
+        before, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_from")))
     is_test = F.col("_before") + F.col("_rank") <= F.ceil(F.col("_label_rows") * F.lit(float(test_share)))
     return ranked.select(*df.columns, is_test.alias("is_test"))
 
@@ -100,18 +102,22 @@ def classification_report(scored: DataFrame, label: str = "is_at_risk", predicti
 
 
 def auc_roc(scored: DataFrame, label: str = "is_at_risk", score: str = "risk_probability") -> DataFrame:
-    """Area under the ROC curve; equal scores count half.
+    """Area under the ROC curve; equal scores count half. Rows without a score or label are left out and counted
+    as ``skipped``; without rows of both labels the area is NULL.
 
     Rows first collapse to distinct scores. Those are cut at quantiles into buckets of similar size, so
     the running count of negatives is a bucket offset plus a running count inside each bucket.
     """
-    distinct = scored.groupBy(F.col(score).cast("double").alias("_score")).agg(
-        F.sum((F.col(label) == 1).cast("long")).alias("_pos"),
-        F.sum((F.col(label) == 0).cast("long")).alias("_neg"),
+    value, known = F.col(score).cast("double"), F.col(label).isin(0, 1)
+    counted = scored.groupBy(F.when(~F.isnan(value), value).alias("_score")).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"),
+        F.count(F.when(F.col(label) == 0, 1)).alias("_neg"),
+        F.count(F.when(~F.coalesce(known, F.lit(False)), 1)).alias("_skipped"),
     )
+    distinct, unscored = counted.where("_score IS NOT NULL"), counted.where("_score IS NULL")
     cuts = distinct.approxQuantile("_score", [i / _SCORE_BUCKETS for i in range(1, _SCORE_BUCKETS)],
                                    0.25 / _SCORE_BUCKETS)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_score", outputCol="_bucket").transform(distinct)
     in_bucket = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = bucketed.withColumn("_lower", F.coalesce(F.sum("_neg").over(in_bucket), F.lit(0)))
@@ -120,17 +126,21 @@ def auc_roc(scored: DataFrame, label: str = "is_at_risk", score: str = "risk_pro
         F.sum(F.col("_pos") * (F.col("_lower") + F.col("_neg") / 2)).alias("_won"),
         F.sum("_pos").alias("_pos"),
         F.sum("_neg").alias("_neg"),
-    )
+        F.sum("_skipped").alias("_skipped"),
+    ).unionByName(unscored.select(
+        F.lit(-1.0).alias("_bucket"), F.lit(0.0).alias("_won"), F.lit(0).cast("long").alias("_pos"),
+        F.lit(0).cast("long").alias("_neg"), (F.col("_pos") + F.col("_neg") + F.col("_skipped")).alias("_skipped")))
     # At most _SCORE_BUCKETS + 1 rows from here on.
     across = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     summed = per_bucket.withColumn("_below", F.coalesce(F.sum("_neg").over(across), F.lit(0))).agg(
         F.sum(F.col("_won") + F.col("_pos") * F.col("_below")).alias("_won"),
         F.sum("_pos").alias("positives"),
         F.sum("_neg").alias("negatives"),
+        F.sum("_skipped").alias("skipped"),
     )
     pairs = F.col("positives").cast("double") * F.col("negatives")
     return summed.select(
-        F.try_divide(F.col("_won"), pairs).alias("auc_roc"), "positives", "negatives",
+        F.try_divide(F.col("_won"), pairs).alias("auc_roc"), "positives", "negatives", "skipped",
     )
 
 

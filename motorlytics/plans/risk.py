@@ -7,7 +7,7 @@ import math
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ TREES, DEPTH, LEARNING_RATE, SEED = 100, 5, 0.1, 42
 # --- end of fixed values ---
 
 FEATURES = (*NUMERIC_FEATURES, "vehicle_class")
-_CODE = "vehicle_class_code"
+_CODE, _NUMBER = "vehicle_class_code", "vehicle_class_number"
 ROWS_PER_PARTITION = 100_000
 
 
@@ -33,10 +33,12 @@ def model_input(features: DataFrame) -> DataFrame:
 def risk_stages(trees: int = TREES) -> Pipeline:
     indexer = StringIndexer(inputCol="vehicle_class", outputCol=_CODE, stringOrderType="alphabetAsc",
                             handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=[*NUMERIC_FEATURES, _CODE], outputCol="features")
+    # As a plain number the class may have any number of values; as a category, only as many as a tree has bins.
+    plain = SQLTransformer(statement=f"SELECT *, {_CODE} + 0.0D AS {_NUMBER} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[*NUMERIC_FEATURES, _NUMBER], outputCol="features")
     booster = GBTClassifier(labelCol="is_at_risk", featuresCol="features", weightCol="weight", maxIter=trees,
                             maxDepth=DEPTH, stepSize=LEARNING_RATE, seed=SEED)
-    return Pipeline(stages=[indexer, assembler, booster])
+    return Pipeline(stages=[indexer, plain, assembler, booster])
 
 
 def fit_risk_model(train: DataFrame, trees: int = TREES) -> PipelineModel:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,14 +53,10 @@ def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 128 * 1024**
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared checkpoint directory for a table that cuts lineage.
 
-    The directory is the cluster's ``spark.checkpoint.dir``. Only a local session without one gets a
-    temporary folder: on a cluster a machine-local folder would be lost with the machine.
+    The directory is the cluster's ``spark.checkpoint.dir``, or without one a folder in the warehouse, which all
+    executors share too. So what needs scratch never depends on the size of the data or on the machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="motorlytics-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -102,7 +102,10 @@ def merge_days(spark: SparkSession, path: str, schema: T.StructType, updates: Da
     days = [row[0] for row in updates.select(EVENT_DATE).distinct().collect()]  # calendar days of one batch
     if not days:
         return
-    touched = read_telemetry(spark, path, schema).filter(F.col(EVENT_DATE).isin(days))
+    in_days = F.col(EVENT_DATE).isin([d for d in days if d is not None])
+    if None in days:  # readings without a time have a partition of their own
+        in_days = F.coalesce(in_days, F.lit(False)) | F.col(EVENT_DATE).isNull()
+    touched = read_telemetry(spark, path, schema).filter(in_days)
     merged = merge_by_key(touched, updates, keys)
     (merged.sortWithinPartitions(EVENT_DATE, "vehicle_id", "timestamp")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from motorlytics.sources.fleet import MODEL_CLASSES, PASSENGER_MODELS
 from motorlytics.sources.derived import DUCKDB, message_sql, telemetry_sql
 
 OBD = ["rpm", "speed", "throttle_position", "coolant_temp", "battery_voltage", "maf", "fuel_level"]
@@ -206,10 +207,16 @@ SQL: dict[str, str] = {
     "bronze": with_(*_DECODED, flagged("typed")) + f"SELECT seq, {_STORED} FROM bronze",
     "encode_json": with_(_READINGS) + f"SELECT vehicle_id AS key, timestamp, {_IDS}, {_DOUBLES}, latitude, longitude FROM telemetry",
     "detect_anomalies": with_(*_BRONZE) + "SELECT seq, vehicle_id, timestamp, anomaly_flag, anomaly_reason FROM bronze",
-    "enrich_fleet": with_(_READINGS) + """SELECT seq, vehicle_id, vehicle_model, 'PASSENGER' AS fleet_class,
-        CAST(850 AS DOUBLE) AS idle_rpm, CAST(6500 AS DOUBLE) AS max_rpm, CAST(180 AS DOUBLE) AS max_speed,
-        CAST(90 AS DOUBLE) AS avg_temp, CAST(14.2 AS DOUBLE) AS volt_baseline, CAST(0.15 AS DOUBLE) AS maf_mult
-        FROM telemetry""",
+    "enrich_fleet": with_(_READINGS) + f"""SELECT seq, vehicle_id, vehicle_model, fleet_class,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 650 ELSE 850 END AS DOUBLE) AS idle_rpm,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 4000 ELSE 6500 END AS DOUBLE) AS max_rpm,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 100 ELSE 180 END AS DOUBLE) AS max_speed,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 92 ELSE 90 END AS DOUBLE) AS avg_temp,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 26.5 ELSE 14.2 END AS DOUBLE) AS volt_baseline,
+        CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 0.25 ELSE 0.15 END AS DOUBLE) AS maf_mult
+        FROM (SELECT *, CASE WHEN nth BETWEEN {len(PASSENGER_MODELS)} AND {len(MODEL_CLASSES) - 1} THEN 'COMMERCIAL' ELSE 'PASSENGER' END AS fleet_class
+          FROM (SELECT seq, vehicle_id, seq % {len(MODEL_CLASSES) + 1} AS nth,
+            [{", ".join(repr(m) for m in (*MODEL_CLASSES, "Unlisted"))}][1 + seq % {len(MODEL_CLASSES) + 1}] AS vehicle_model FROM telemetry) m) t""",
     "enrich_fleet_models": with_(_READINGS) + """SELECT seq, vehicle_id, vehicle_model, fleet_class,
         CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 4000 ELSE 6500 END AS DOUBLE) AS max_rpm,
         CAST(CASE fleet_class WHEN 'COMMERCIAL' THEN 26.5 ELSE 14.2 END AS DOUBLE) AS volt_baseline
@@ -265,8 +272,8 @@ SQL: dict[str, str] = {
     "classification_report": with_(*_PREDICTIONS) [:-1] + _REPORT,
     "auc_roc": with_(*_PREDICTIONS) + """SELECT round(sum(CASE WHEN p.s > n.s THEN 1.0 WHEN p.s = n.s THEN 0.5 ELSE 0 END * p.c * n.c)
           / (sum(p.c * n.c)), 6) AS auc_roc
-        FROM (SELECT risk_probability AS s, count(*) AS c FROM predictions WHERE is_at_risk = 1 GROUP BY ALL) p,
-             (SELECT risk_probability AS s, count(*) AS c FROM predictions WHERE is_at_risk = 0 GROUP BY ALL) n""",
+        FROM (SELECT risk_probability AS s, count(*) AS c FROM predictions WHERE is_at_risk = 1 AND risk_probability IS NOT NULL GROUP BY ALL) p,
+             (SELECT risk_probability AS s, count(*) AS c FROM predictions WHERE is_at_risk = 0 AND risk_probability IS NOT NULL GROUP BY ALL) n""",
     "kpi_total_vehicles": with_(*_GOLD) + "SELECT count(DISTINCT vehicle_id) AS total_vehicles FROM breakdown",
     "kpi_anomaly_rate_live": with_(*_SILVER) + f"""SELECT round(avg(anomaly_flag) * 100, 6) AS anomaly_rate_pct FROM silver
         WHERE timestamp > {_AS_OF} - INTERVAL 5 MINUTE""",

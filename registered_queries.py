@@ -15,12 +15,16 @@ from motorlytics.schemas import (
 )
 from motorlytics.session import scratch_path, written
 from motorlytics.sources import derived, messages
+from motorlytics.sources.fleet import MODEL_CLASSES
 from motorlytics.sources.tables import merge_by_key, read_telemetry
 from motorlytics.streaming import ingest, live
 from motorlytics.streaming.refresh import SilverStore
 
 CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
 
+FLEET_MODELS = (*MODEL_CLASSES, "Unlisted")
+READINGS_PER_BATCH = 4000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -147,8 +151,10 @@ def detect_anomalies(spark, folder):
 
 @query
 def enrich_fleet(spark, folder):
-    rows = derived.telemetry(spark, folder).select("seq", "vehicle_id", "vehicle_model")
-    return quality.enrich_fleet(rows)
+    """Models are those of the built-in fleet, in turn, and one that is not listed."""
+    names = F.array(*[F.lit(m) for m in FLEET_MODELS])
+    model = F.get(names, (F.col("seq") % len(FLEET_MODELS)).cast("int"))
+    return quality.enrich_fleet(derived.telemetry(spark, folder).select("seq", "vehicle_id", model.alias("vehicle_model")))
 
 
 @query
@@ -210,7 +216,7 @@ def silver_telemetry(spark, folder):
 def silver_telemetry_in_runs(spark, folder):
     """Every vehicle's history cut into runs, as for a vehicle too large for one task."""
     rows = _bronze(spark, folder)
-    split = windows.silver_telemetry(rows, keep=("seq",), rows_per_task=40, rows_per_run=max(40, rows.count() // 100))
+    split = windows.silver_telemetry(rows, keep=("seq",), rows_per_task=40, rows_per_run=500)
     return shown(split, *SILVER_OUT)
 
 
@@ -272,9 +278,9 @@ def gold_vehicle_health(spark, folder):
 
 @query
 def gold_from_messages(spark, folder):
-    """Raw messages to health scores in one plan."""
-    rows = layers.bronze_from_messages(derived.messages(spark, folder))
-    return shown(layers.gold_from_bronze(rows, rows_per_task=None), *HEALTH_OUT)
+    """Raw messages to health scores, with bronze stored once."""
+    rows = written(layers.bronze_from_messages(derived.messages(spark, folder)), "bronze")
+    return shown(layers.gold_from_bronze(rows), *HEALTH_OUT)
 
 
 # --- dashboard ---
@@ -449,14 +455,17 @@ def stream_trips(spark, folder):
 
 @query
 def stream_dedupe(spark, folder):
-    stream, root = _staged(spark, _bronze(spark, folder), "stream-dedupe")
+    """Every reading arrives twice."""
+    once = _bronze(spark, folder)
+    stream, root = _staged(spark, once.unionByName(once), "stream-dedupe")
     return shown(_drained(live.without_duplicates(stream), root), "vehicle_id", "timestamp")
 
 
 def _streamed_store(spark: SparkSession, folder: str) -> SilverStore:
     root = scratch_path(spark, "stream-silver")
     rows = _bronze(spark, folder)
-    rows.repartitionByRange(3, "timestamp").write.parquet(f"{root}/input")
+    (rows.repartitionByRange("timestamp").sortWithinPartitions("timestamp")
+     .write.option("maxRecordsPerFile", READINGS_PER_BATCH).parquet(f"{root}/input"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/input")
     store = SilverStore(spark, f"{root}/silver")
     store.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
@@ -465,7 +474,7 @@ def _streamed_store(spark: SparkSession, folder: str) -> SilverStore:
 
 @query
 def silver_stream(spark, folder):
-    """Three files arrive as three micro-batches; the stored silver equals one full refresh."""
+    """Files of a fixed number of readings arrive as micro-batches; the stored silver equals one full refresh."""
     return shown(_streamed_store(spark, folder).read(), *SILVER_OUT)
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -21,6 +22,7 @@ def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
+        spark__checkpoint__dir=f"file://{tempfile.mkdtemp(prefix='scratch-')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -106,3 +106,26 @@ def test_model(spark, tmp_path):
     predicted = risk.fleet_predictions(model, new_class)
     assert predicted.columns == ["vehicle_id", "risk_probability", "risk_label", "predicted_at"]
     assert predicted.first()["predicted_at"].microsecond == 0
+
+
+def test_split_keeps_rows_without_label_or_key(spark):
+    rows = [(f"V{i}", i % 2 if i % 5 else None) for i in range(200)] + [(None, 1), (None, None)]
+    df = spark.createDataFrame(rows, "vehicle_id string, is_at_risk int")
+    got = evaluation.stratified_split(df)
+    assert got.count() == len(rows)
+    assert sum(r["is_test"] for r in got.collect() if r["is_at_risk"] is None) == math.ceil(41 * 0.2)
+
+
+def test_auc_leaves_out_rows_without_score(spark):
+    schema = "is_at_risk int, risk_probability double"
+    got = evaluation.auc_roc(spark.createDataFrame([(1, 0.9), (0, 0.1), (0, None), (None, 0.5), (1, float("nan"))], schema)).first()
+    assert (got["auc_roc"], got["positives"], got["negatives"], got["skipped"]) == (1.0, 1, 1, 3)
+    assert evaluation.auc_roc(spark.createDataFrame([], schema)).first()["auc_roc"] is None
+
+
+def test_fit_with_many_classes(spark):
+    rows = [(f"V{i}", f"class {i % 40}", i % 7 / 7, i % 3 / 3, float(i % 5), int(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "vehicle_id string, vehicle_class string, maf_rpm_ratio double, volt_volatility double, "
+                                     "max_coolant_temp_delta double, is_at_risk int")
+    model = risk.fit_risk_model(df, trees=2)
+    assert risk.score_vehicles(model, df).count() == 200 and risk.feature_importance(model, df).count() == 4

@@ -137,3 +137,18 @@ def test_topic_options():
     options = m.topic_source_options(secure, max_offsets_per_trigger=10)
     assert (options["subscribe"], options["startingOffsets"]) == (m.INPUT_TOPIC, "latest")
     assert options["maxOffsetsPerTrigger"] == "10"
+
+
+def test_iso_forms_of_time(spark):
+    from pyspark.sql import functions as F
+
+    from motorlytics.functions.times import parse_instant
+
+    midnight, ten = "2024-01-01 00:00:00", "2024-01-01 10:20:30"
+    cases = {"20240101T000000": midnight, "20240101": midnight, "2024-W01-1": midnight, "2024W011": midnight, "2024-W01": midnight,
+             "2024-01-01T10:20:30Z": ten, "20240101T102030.000+0000": ten, "2024-01-01 12:20:30+02:00": ten, "2024-W01-1T10:20:30": ten,
+             "2020-W53-5": "2021-01-01 00:00:00", "2024-01-01 10:00:00 America/New_York": None, "2024": None, "10:00:00": None,
+             "2023-W53-1": None, "2024-13-01": None, "bad": None, "": None, None: None}
+    rows = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, e string")
+    got = rows.select("t", "e", F.date_format(parse_instant(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("g")).collect()
+    assert [(r.t, r.g) for r in got] == [(r.t, r.e) for r in got]
