@@ -87,3 +87,14 @@ def test_views(spark, bronze_rows):
     rows = bronze_rows([("A", 0), ("A", 1000)])
     register_views(spark, bronze=rows, silver=silver_telemetry(rows))
     assert spark.sql("SELECT max(session_id) FROM silver JOIN bronze USING (vehicle_id, timestamp)").first()[0] == 2
+
+
+def test_merge_days_keeps_readings_without_time(spark, tmp_path, bronze_rows):
+    path = str(tmp_path / "b")
+    rows = bronze_rows([("A", 5), ("B", 7)], with_seq=False)
+    untimed = rows.withColumn("timestamp", F.lit(None).cast("timestamp"))
+    tables.write_telemetry(rows.unionByName(untimed.where("vehicle_id = 'A'")), path)
+    tables.merge_days(spark, path, BRONZE_SCHEMA, untimed.where("vehicle_id = 'B'"))
+    stored = tables.read_telemetry(spark, path, BRONZE_SCHEMA)
+    assert sorted((r["vehicle_id"], r["timestamp"] is None) for r in stored.collect()) == [
+        ("A", False), ("A", True), ("B", False), ("B", True)]
