@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlytics.llm import byte_bpe, decontaminate, quality_rules, secret_scan, simhash
-from motorlytics.llm.common import table
+from motorlytics.llm.common import prepare, table
 from motorlytics.session import scratch_path
 
 # Near-duplicates of the corpus: five-word shingles and a similarity of 0.8. Two texts of that Jaccard similarity have an
@@ -26,6 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
+    prepare(spark)
     return simhash.one_of_each(docs, shingle=SHINGLE, words=WORDS, most=MOST_BITS, n_blocks=BLOCKS)
 
 
@@ -43,6 +44,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids``; the ids decode to the text's bytes."""
+    prepare(spark)
     rows = byte_bpe.encode(docs)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -18,9 +21,28 @@ BATCH_SETTINGS = {
 SLICE_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Batch limits, and once per application the package itself for the executors, wherever they run."""
     for key, value in BATCH_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        packed = os.path.join(tempfile.mkdtemp(), "motorlytics.zip")
+        with zipfile.ZipFile(packed, "w") as out:
+            for folder, _, names in os.walk(os.path.join(root, "motorlytics")):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+        context.addPyFile(packed)  # the driver serves it to the executors
+        _shipped.add(context.applicationId)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
