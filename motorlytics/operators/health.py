@@ -48,15 +48,15 @@ _HIGHEST = ("max_coolant_temp", "max_coolant_temp_delta", "total_sessions")
 _ADDED = ("total_anomaly_count", "total_readings", *[f"{m}_{part}" for m in _MEANS for part in ("sum", "count")])
 
 
-def vehicle_totals(silver: DataFrame) -> DataFrame:
+def vehicle_totals(silver: DataFrame, *by: str) -> DataFrame:
     """Metrics in a form that can be added up: sums and counts instead of means.
 
     Sessions are counted by the highest number, which needs numbers that run on from 1 as in a full or
-    continuous refresh.
+    continuous refresh. ``by`` names further columns to keep totals apart by.
     """
     sums = [F.sum(F.col(c).cast("double")).alias(f"{m}_sum") for m, c in _MEANS.items()]
     counts = [F.count(c).alias(f"{m}_count") for m, c in _MEANS.items()]
-    return silver.groupBy("vehicle_id").agg(
+    return silver.groupBy("vehicle_id", *by).agg(
         F.min("vehicle_model").alias("vehicle_model"),
         F.min("vehicle_class").alias("vehicle_class"),
         F.min("battery_voltage").alias("min_battery_voltage"),
@@ -69,9 +69,9 @@ def vehicle_totals(silver: DataFrame) -> DataFrame:
     )
 
 
-def merge_totals(totals: DataFrame) -> DataFrame:
-    """Totals of disjoint sets of readings, combined per vehicle."""
-    return totals.groupBy("vehicle_id").agg(
+def merge_totals(totals: DataFrame, *by: str) -> DataFrame:
+    """Totals of disjoint sets of readings, combined per vehicle (and ``by``)."""
+    return totals.groupBy("vehicle_id", *by).agg(
         *[F.min(c).alias(c) for c in _LOWEST],
         *[F.max(c).alias(c) for c in _HIGHEST],
         *[F.sum(c).alias(c) for c in _ADDED],

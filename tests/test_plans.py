@@ -5,7 +5,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from motorlytics.operators import evaluation, health, quality, windows
-from motorlytics.operators.incremental import newer_than
+from motorlytics.operators.incremental import continuous_refresh, newer_than
 from motorlytics.plans import kpis, layers
 from motorlytics.schemas import SILVER_SCHEMA
 from motorlytics.sources import derived, tables
@@ -63,6 +63,15 @@ def test_filters_and_columns_reach_the_scan(silver_table):
     assert "PartitionFilters: [isnotnull(event_date" in recent
 
 
+def test_late_readings_prune_days(silver_table, bronze):
+    """Without a state, the newest rows of touched vehicles are looked up; the rows to redo start at a literal day."""
+    late = bronze.orderBy(F.col("timestamp").desc()).limit(1)
+    known = windows.latest_state(silver_table)
+    text = plan(continuous_refresh(late.drop("seq"), silver_table, known).rows)
+    scans = [line for line in text.splitlines() if "FileScan" in line and "rolling" not in line and "event_date#" in line]
+    assert scans and all("PartitionFilters: [isnotnull(event_date" in line for line in scans)
+
+
 def test_last_rows_are_cut_before_the_shuffle(silver_table):
     text = plan(windows.latest_state(silver_table))
     assert "Partial" in text and "WindowGroupLimit" in text
