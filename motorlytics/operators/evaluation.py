@@ -24,6 +24,17 @@ def encode_category(df: DataFrame, column: str, output: str) -> DataFrame:
     return df.join(codes, df[column].eqNullSafe(codes[column]), "left").select(df["*"], codes[output])
 
 
+def encode_known(df: DataFrame, column: str, output: str, values: tuple[str, ...]) -> DataFrame:
+    """Number the given values from 0 in alphabetical order; any other value, or none, has the next number.
+
+    One expression: nothing is counted, sorted or joined, however many other values the messages bring.
+    """
+    code = F.lit(len(values))
+    for number, value in enumerate(sorted(values)):
+        code = F.when(F.col(column) == value, number).otherwise(code)
+    return df.withColumn(output, code)
+
+
 def stratified_split(df: DataFrame, label: str = "is_at_risk", key: str = "vehicle_id",
                      test_share: float = TEST_SHARE, seed: int = SPLIT_SEED) -> DataFrame:
     """Add ``is_test``: per label, exactly the first ``ceil(share * n)`` rows by a seeded hash of the key.

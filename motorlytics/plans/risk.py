@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorlytics.operators.evaluation import class_balance, stratified_split
-from motorlytics.schemas import PREDICTION_COLUMNS
+from motorlytics.plans.kpis import as_of_column
+from motorlytics.schemas import PREDICTION_COLUMNS, PREDICTION_SCHEMA
+from motorlytics.sources.fleet import CLASS_PROFILES
+from motorlytics.sources.tables import is_empty, rebuild
 
 # --- fixed values: features and model settings ---
 NUMERIC_FEATURES = ("maf_rpm_ratio", "volt_volatility", "max_coolant_temp_delta")
@@ -21,7 +25,7 @@ TREES, DEPTH, LEARNING_RATE, SEED = 100, 5, 0.1, 42
 # --- end of fixed values ---
 
 FEATURES = (*NUMERIC_FEATURES, "vehicle_class")
-_CODE, _NUMBER = "vehicle_class_code", "vehicle_class_number"
+_NUMBER = "vehicle_class_number"
 ROWS_PER_PARTITION = 100_000
 
 
@@ -31,14 +35,14 @@ def model_input(features: DataFrame) -> DataFrame:
 
 
 def risk_stages(trees: int = TREES) -> Pipeline:
-    indexer = StringIndexer(inputCol="vehicle_class", outputCol=_CODE, stringOrderType="alphabetAsc",
-                            handleInvalid="keep")
-    # As a plain number the class may have any number of values; as a category, only as many as a tree has bins.
-    plain = SQLTransformer(statement=f"SELECT *, {_CODE} + 0.0D AS {_NUMBER} FROM __THIS__")
+    # The classes of the fleet in alphabetical order as a plain number, and one more for any other text.
+    cases = " ".join(f"WHEN '{name}' THEN {code}.0D" for code, name in enumerate(sorted(CLASS_PROFILES)))
+    numbered = SQLTransformer(
+        statement=f"SELECT *, CASE vehicle_class {cases} ELSE {len(CLASS_PROFILES)}.0D END AS {_NUMBER} FROM __THIS__")
     assembler = VectorAssembler(inputCols=[*NUMERIC_FEATURES, _NUMBER], outputCol="features")
     booster = GBTClassifier(labelCol="is_at_risk", featuresCol="features", weightCol="weight", maxIter=trees,
                             maxDepth=DEPTH, stepSize=LEARNING_RATE, seed=SEED)
-    return Pipeline(stages=[indexer, plain, assembler, booster])
+    return Pipeline(stages=[numbered, assembler, booster])
 
 
 def fit_risk_model(train: DataFrame, trees: int = TREES) -> PipelineModel:
@@ -73,11 +77,23 @@ def score_vehicles(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def fleet_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """The predictions contract for the whole fleet, stamped with the time of the run in whole seconds."""
-    stamped = score_vehicles(model, features).withColumn(
-        "predicted_at", F.date_trunc("SECOND", F.current_timestamp()))
-    return stamped.select(*PREDICTION_COLUMNS)
+def fleet_predictions(model: PipelineModel, features: DataFrame, predicted_at: dt.datetime | None = None) -> DataFrame:
+    """The predictions contract for the whole fleet, stamped with the time of the run (or a given one) in whole seconds."""
+    time = F.date_trunc("SECOND", as_of_column(predicted_at))
+    return score_vehicles(model, features).withColumn("predicted_at", time).select(*PREDICTION_COLUMNS)
+
+
+def refresh_predictions(features: DataFrame, path: str, predicted_at: dt.datetime | None = None,
+                        model: PipelineModel | None = None) -> DataFrame | None:
+    """Fit on a stored feature table (unless a model is given), score the fleet, and replace the predictions at ``path``.
+
+    Without any vehicle nothing is fitted or replaced, and the result is None.
+    """
+    if is_empty(features):
+        return None
+    model = model or fit_risk_model(train_and_test(features)[0])
+    rebuild(fleet_predictions(model, features, predicted_at), path)
+    return features.sparkSession.read.schema(PREDICTION_SCHEMA).parquet(path)
 
 
 def threshold_predictions(features: DataFrame) -> DataFrame:

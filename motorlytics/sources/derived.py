@@ -1,7 +1,7 @@
 """Telemetry and raw messages derived from the ``events`` table.
 
-The given tables hold no vehicle readings, so every event becomes one reading by integer arithmetic on
-its ids. One query text serves Spark and the SQL check; only the words in ``Dialect`` differ.
+The given tables hold no vehicle readings, so every event becomes one reading: its value is the fuel
+level, the other sensors follow from its ids by integer arithmetic. One query text serves Spark and the SQL check; only the words in ``Dialect`` differ.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ SELECT {dialect.reading_time} AS timestamp,
   CAST((CASE WHEN user_id % 4 = 3 AND user_id % 16 <> 5 THEN 25.4 ELSE 13.1 END) + (user_id % 7) * 0.2
      + CASE WHEN fault = 4 THEN -5.0 WHEN fault = 5 THEN 6.0 ELSE 0.0 END AS FLOAT) AS battery_voltage,
   CAST(CASE WHEN fault = 6 THEN 0.5 ELSE (650 + h1 * 3) * (0.0012 + (user_id % 6) * 0.0006) END AS FLOAT) AS maf,
-  CAST(20 + h3 * 0.08 AS FLOAT) AS fuel_level,
+  CAST(20 + least(coalesce(value, 0), 1000) * 0.08 AS FLOAT) AS fuel_level,
   CAST(18.976 + h1 * 0.0002 AS DOUBLE) AS latitude,
   CAST(72.7777 + h2 * 0.0002 AS DOUBLE) AS longitude,
   event_id AS seq
@@ -109,7 +109,7 @@ def telemetry(spark: SparkSession, folder: str) -> DataFrame:
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same readings as raw JSON text (``seq``, ``value``), on all cores even when the table is one file."""
-    events = spread(spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id"))
+    events = spread(spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "value"))
     query = message_sql(SPARK, f"({telemetry_sql(SPARK, '@events')}) telemetry")
     # Braces of the JSON text are doubled, because the query is formatted to bind the table.
     query = query.replace("{", "{{").replace("}", "}}").replace("@events", "{events}")

@@ -263,6 +263,20 @@ SQL: dict[str, str] = {
     "at_risk_label": with_(*_FEATURES) + "SELECT vehicle_id, health_score, is_at_risk FROM features",
     "encode_class": with_(*_FEATURES) + """SELECT vehicle_id, vehicle_class,
         dense_rank() OVER (ORDER BY vehicle_class) - 1 AS vehicle_class_code FROM features""",
+    "encode_class_known": with_(*_FEATURES) + """SELECT vehicle_id, vehicle_class, CAST(CASE vehicle_class WHEN 'COMMERCIAL' THEN 0
+        WHEN 'PASSENGER' THEN 1 ELSE 2 END AS BIGINT) AS vehicle_class_code FROM features""",
+    "stored_predictions": with_(*_FEATURES) + f"""SELECT vehicle_id, true AS in_range, true AS label_agrees, {CUTOFF} AS predicted_at
+        FROM features""",
+    "kpis_on_predictions": with_(*_FEATURES) + "SELECT count(*) AS vehicles, true AS count_agrees FROM features",
+    "worst_vehicles_on_predictions": with_(*_GOLD) + """SELECT vehicle_id, vehicle_model, vehicle_class, health_score, true AS has_risk
+        FROM breakdown ORDER BY health_score, vehicle_id LIMIT 20""",
+    "feature_importance_total": with_(*_FEATURES) + """SELECT CAST(4 AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total
+        FROM features LIMIT 1""",
+    "model_quality_supports": with_(*_FEATURES, _SPLIT) + """SELECT l AS label, count(*) FILTER (
+          l NOT IN ('0', '1') OR CAST(is_at_risk AS VARCHAR) = l) AS support
+        FROM split, unnest(['0', '1', 'accuracy', 'macro avg', 'weighted avg']) u(l) WHERE is_test GROUP BY l""",
+    "gold_zero_base": with_(*_BRONZE, silver("bronze", first="0"), METRICS, BREAKDOWN)
+        + f"SELECT {_METRIC_OUT}, round(anomaly_rate, 6) AS anomaly_rate, health_score FROM breakdown",
     "stratified_split": with_(*_FEATURES, _SPLIT) + "SELECT vehicle_id, is_at_risk, is_test FROM split",
     "class_balance": with_(*_FEATURES, _SPLIT) + """SELECT count(*) FILTER (is_at_risk = 0) AS negatives,
         count(*) FILTER (is_at_risk = 1) AS positives,

@@ -15,7 +15,7 @@ from motorlytics.schemas import (
 )
 from motorlytics.session import scratch_path, written
 from motorlytics.sources import derived, messages
-from motorlytics.sources.fleet import MODEL_CLASSES
+from motorlytics.sources.fleet import CLASS_PROFILES, MODEL_CLASSES
 from motorlytics.sources.tables import merge_by_key, read_telemetry
 from motorlytics.streaming import ingest, live
 from motorlytics.streaming.refresh import SilverStore
@@ -24,6 +24,7 @@ CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
 
 FLEET_MODELS = (*MODEL_CLASSES, "Unlisted")
 READINGS_PER_BATCH = 4000
+RECORDS_PER_FILE, FILES_PER_BATCH = 20_000, 3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,6 +74,15 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return health.vehicle_features(_metrics(spark, folder))
 
 
+def _stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics written once, for questions that read them several times."""
+    return written(_metrics(spark, folder), "metrics")
+
+
+def _stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    return written(_features(spark, folder), "features")
+
+
 def _newest(spark: SparkSession, folder: str) -> dt.datetime:
     return incremental.high_water(derived.telemetry(spark, folder))
 
@@ -283,6 +293,12 @@ def gold_from_messages(spark, folder):
     return shown(layers.gold_from_bronze(rows), *HEALTH_OUT)
 
 
+@query
+def gold_zero_base(spark, folder):
+    """Health where a vehicle's first reading counts as a change from zero."""
+    return shown(health.vehicle_health(_silver(spark, folder, first_delta="zero_base")), *HEALTH_OUT)
+
+
 # --- dashboard ---
 
 
@@ -293,7 +309,7 @@ def kpi_total_vehicles(spark, folder):
 
 @query
 def kpi_anomaly_rate_live(spark, folder):
-    return shown(kpis.live_anomaly_rate(_silver(spark, folder), _newest(spark, folder)))
+    return shown(kpis.live_anomaly_rate(_bronze(spark, folder), _newest(spark, folder)))
 
 
 @query
@@ -303,8 +319,8 @@ def kpi_at_risk_count(spark, folder):
 
 @query
 def kpi_status(spark, folder):
-    features = _features(spark, folder)
-    return shown(kpis.kpi_statuses(_silver(spark, folder), features, risk.label_predictions(features),
+    features = _stored_features(spark, folder)
+    return shown(kpis.kpi_statuses(_bronze(spark, folder), features, risk.label_predictions(features),
                                    _newest(spark, folder)))
 
 
@@ -320,13 +336,14 @@ def risk_distribution(spark, folder):
 
 @query
 def anomaly_timeseries_10s(spark, folder):
-    return shown(kpis.anomaly_series(_silver(spark, folder), _newest(spark, folder)))
+    return shown(kpis.anomaly_series(_bronze(spark, folder), _newest(spark, folder)))
 
 
 @query
 def worst_vehicles(spark, folder):
-    predictions = risk.label_predictions(_features(spark, folder))
-    return shown(kpis.worst_vehicles(_health(spark, folder), predictions))
+    metrics = _stored_metrics(spark, folder)
+    predictions = risk.label_predictions(health.vehicle_features(metrics))
+    return shown(kpis.worst_vehicles(health.health_breakdown(metrics), predictions))
 
 
 @query
@@ -353,14 +370,20 @@ def encode_class(spark, folder):
     return coded.select("vehicle_id", "vehicle_class", F.col("vehicle_class_code").cast("long").alias("vehicle_class_code"))
 
 
+@query
+def encode_class_known(spark, folder):
+    coded = evaluation.encode_known(_features(spark, folder), "vehicle_class", "vehicle_class_code", tuple(CLASS_PROFILES))
+    return coded.select("vehicle_id", "vehicle_class", F.col("vehicle_class_code").cast("long").alias("vehicle_class_code"))
+
+
 @query
 def stratified_split(spark, folder):
-    return evaluation.stratified_split(_features(spark, folder)).select("vehicle_id", "is_at_risk", "is_test")
+    return evaluation.stratified_split(_stored_features(spark, folder)).select("vehicle_id", "is_at_risk", "is_test")
 
 
 @query
 def class_balance(spark, folder):
-    train, _ = risk.train_and_test(_features(spark, folder))
+    train, _ = risk.train_and_test(_stored_features(spark, folder))
     return shown(evaluation.class_balance(train))
 
 
@@ -371,7 +394,7 @@ def classification_report(spark, folder):
 
 @query
 def auc_roc(spark, folder):
-    return shown(evaluation.auc_roc(risk.threshold_predictions(_features(spark, folder))), "auc_roc")
+    return shown(evaluation.auc_roc(risk.threshold_predictions(_stored_features(spark, folder))), "auc_roc")
 
 
 _MODELS: dict = {}
@@ -381,7 +404,7 @@ def _model(spark: SparkSession, folder: str):
     """The model trained on the training side of ``folder``, fitted once per session."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _MODELS:
-        _MODELS[key] = risk.fit_risk_model(risk.train_and_test(_features(spark, folder))[0])
+        _MODELS[key] = risk.fit_risk_model(risk.train_and_test(_stored_features(spark, folder))[0])
     return _MODELS[key]
 
 
@@ -398,18 +421,68 @@ def feature_importance(spark, folder):
 @query
 def model_quality(spark, folder):
     """The report of the fitted model on vehicles it has not seen."""
-    _, test = risk.train_and_test(_features(spark, folder))
+    _, test = risk.train_and_test(_stored_features(spark, folder))
     return shown(evaluation.classification_report(risk.score_vehicles(_model(spark, folder), test)))
 
 
+def _predictions(spark: SparkSession, metrics: DataFrame, folder: str) -> DataFrame:
+    """The stored predictions of the fitted model for the whole fleet."""
+    features = written(health.vehicle_features(metrics), "features")
+    return risk.refresh_predictions(features, scratch_path(spark, "predictions"), CUTOFF, _model(spark, folder))
+
+
+@query
+def stored_predictions(spark, folder):
+    """What SQL can say of the model's table: its vehicles, probabilities within 0 and 1, labels that follow from them."""
+    rows = _predictions(spark, _stored_metrics(spark, folder), folder)
+    return shown(rows.select(
+        "vehicle_id", F.col("risk_probability").between(0, 1).alias("in_range"),
+        ((F.col("risk_probability") > 0.5) == (F.col("risk_label") == 1)).alias("label_agrees"), "predicted_at"))
+
+
+@query
+def kpis_on_predictions(spark, folder):
+    """The at-risk count and the risk distribution over the model's table."""
+    rows = _predictions(spark, _stored_metrics(spark, folder), folder)
+    by_label = kpis.risk_distribution(rows).agg(
+        F.sum("vehicles").alias("vehicles"),
+        F.coalesce(F.sum(F.when(F.col("label") == "At-Risk", F.col("vehicles"))), F.lit(0)).alias("_at_risk"))
+    both = by_label.join(F.broadcast(kpis.at_risk_count(rows)))  # one row each
+    return both.select("vehicles", (F.col("_at_risk") == F.col("at_risk_vehicles")).alias("count_agrees"))
+
+
+@query
+def worst_vehicles_on_predictions(spark, folder):
+    metrics = _stored_metrics(spark, folder)
+    worst = kpis.worst_vehicles(health.health_breakdown(metrics), _predictions(spark, metrics, folder))
+    return shown(worst.withColumn("has_risk", F.col("risk_probability").isNotNull()),
+                 "vehicle_id", "vehicle_model", "vehicle_class", "health_score", "has_risk")
+
+
+@query
+def feature_importance_total(spark, folder):
+    rows = risk.feature_importance(_model(spark, folder), _features(spark, folder))
+    return rows.agg(F.count("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+@query
+def model_quality_supports(spark, folder):
+    """Supports of the report on unseen vehicles: these depend on the split alone."""
+    return model_quality(spark, folder).select("label", "support")
+
+
 # --- streams, run until all input is consumed ---
 
 
-def _staged(spark: SparkSession, rows: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``rows`` as a file stream, and a folder for its output and checkpoint."""
+def _staged(spark: SparkSession, rows: DataFrame, label: str, timed: bool = True) -> tuple[DataFrame, str]:
+    """``rows`` as a file stream: batches of a bounded number of rows, but one batch where event time decides what is late,
+    because files come in no order of time. And a folder for its output and checkpoint."""
     root = scratch_path(spark, label)
-    rows.write.parquet(f"{root}/input")
-    return spark.readStream.schema(rows.schema).parquet(f"{root}/input"), root
+    rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{root}/input")
+    source = spark.readStream.schema(rows.schema)
+    if not timed:
+        source = source.option("maxFilesPerTrigger", str(FILES_PER_BATCH))
+    return source.parquet(f"{root}/input"), root
 
 
 def _drained(stream: DataFrame, root: str) -> DataFrame:
@@ -422,7 +495,7 @@ def _drained(stream: DataFrame, root: str) -> DataFrame:
 
 @query
 def stream_bronze(spark, folder):
-    stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze")
+    stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze", timed=False)
     ingest.start_bronze(stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
                         interval=None).awaitTermination()
     return shown(read_telemetry(spark, f"{root}/bronze", BRONZE_SCHEMA, seq="long", batch_id="long"),
@@ -431,7 +504,7 @@ def stream_bronze(spark, folder):
 
 @query
 def stream_quarantine(spark, folder):
-    stream, root = _staged(spark, derived.messages(spark, folder), "stream-quarantine")
+    stream, root = _staged(spark, derived.messages(spark, folder), "stream-quarantine", timed=False)
     return _drained(ingest.rejected_stream(stream), root).select("seq", "reject_reason")
 
 

@@ -129,3 +129,18 @@ def test_fit_with_many_classes(spark):
                                      "max_coolant_temp_delta double, is_at_risk int")
     model = risk.fit_risk_model(df, trees=2)
     assert risk.score_vehicles(model, df).count() == 200 and risk.feature_importance(model, df).count() == 4
+
+
+def test_known_classes_are_numbered_and_the_rest_share_a_number(spark):
+    df = spark.createDataFrame([("B",), ("A",), ("text",), (None,)], "c string")
+    got = {r["c"]: r["code"] for r in evaluation.encode_known(df, "c", "code", ("B", "A")).collect()}
+    assert got == {"A": 0, "B": 1, "text": 2, None: 2}
+
+
+def test_no_vehicle_leaves_the_predictions_alone(spark, tmp_path):
+    from motorlytics.plans import risk
+
+    features = spark.createDataFrame([], "vehicle_id string, vehicle_class string, maf_rpm_ratio double, "
+                                         "volt_volatility double, max_coolant_temp_delta double, is_at_risk int")
+    assert risk.refresh_predictions(features, str(tmp_path / "predictions")) is None
+    assert not (tmp_path / "predictions").exists()
