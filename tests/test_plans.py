@@ -91,3 +91,12 @@ def test_split_orders_no_label_in_one_task(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("vehicle_id"), (F.col("id") % 2).cast("int").alias("is_at_risk"))
     text = plan(evaluation.stratified_split(df))
     assert "row_number() windowspecdefinition(is_at_risk" in text and "_prefix" in text
+
+
+def test_registered_queries_keep_the_protection_of_hot_vehicles():
+    import inspect
+
+    import registered_queries
+
+    text = inspect.getsource(registered_queries)
+    assert "rows_per_task=None" not in text and ".count()" not in text
