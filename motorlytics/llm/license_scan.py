@@ -8,6 +8,7 @@ single spaces, so layout and punctuation don't count as edits.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -92,9 +93,11 @@ def exact(raw: bytes, phrases: dict[str, str]) -> list[tuple[str, str, int]]:
     padded, found = b" " + raw + b" ", []
     for phrase, label in phrases.items():
         needle = b" " + phrase.encode() + b" "
+        word = before = 0
         p = padded.find(needle)
         while p >= 0:
-            found.append((label, phrase, raw.count(b" ", 0, p)))
+            word, before = word + raw.count(b" ", before, p), p
+            found.append((label, phrase, word))
             p = padded.find(needle, p + 1)
     return found
 
@@ -113,7 +116,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(place)),
                         ("matches", pa.list_(match))])
 
-    def spans(text: str, words: str, found: list) -> list[dict]:
+    def spans(text: str, found: list) -> list[dict]:
         """Places in the joined words turned into places in the text."""
         marks = [m.span() for m in _WORD.finditer(text)]
         starts, at = [], 0
@@ -122,8 +125,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             at += b - a + 1
         out = []
         for label, notice, start, end, edits in found:
-            first = words.count(" ", 0, start)
-            last = words.count(" ", 0, max(end - 1, start))
+            first = bisect.bisect_right(starts, start) - 1
+            last = bisect.bisect_right(starts, max(end - 1, start)) - 1
             begin = marks[first][0] + min(start - starts[first], marks[first][1] - marks[first][0])
             finish = marks[last][0] + min(end - starts[last], marks[last][1] - marks[last][0])
             out.append({"label": label, "notice": notice, "first_word": first, "start": begin, "end": finish,
@@ -139,7 +142,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 places.append([{"label": a, "phrase": b, "first_word": c} for a, b, c in exact(raw, phrases)])
                 words = raw.decode() if any(s[2] in raw for x in searches for s in x[4]) else ""
                 found = fuzzy(words, raw, searches) if words else []
-                matches.append(spans(text, words, found) if found else [])
+                matches.append(spans(text, found) if found else [])
             yield batch(schema, [rows.column(0), counts, places, matches])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

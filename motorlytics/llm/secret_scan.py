@@ -56,6 +56,10 @@ RULES = (
 BASE_KINDS = ("assign", "access", "hex")
 
 
+SPANS = "array<struct<start:int,ord:int,kind:string,end:int>>"
+RUN = 512
+
+
 def literals(text: str) -> list[str]:
     """A literal with optional characters (``x?``) as the literals it stands for."""
     if "?" not in text:
@@ -114,6 +118,24 @@ def candidates(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: st
     return had.select("doc_id", F.array_compact(F.array(*kinds)).alias("kinds")).where(F.size("kinds") > 0)
 
 
+def in_runs(items: Column, kind: str, step, done) -> Column:
+    """``done(at, out)`` after ``step(at, run)``, a ``struct(at, out)``, over runs of ``RUN`` items from where the run before ended.
+
+    An array that grows by an item is copied as a whole, and a place in a text is found by a pass over what lies before it.
+    Runs keep both short, so a text with very many secrets costs a pass per run, not one per secret. Needs an item.
+    """
+    def runs(held: Column) -> Column:
+        last = F.size(held) - 1
+        return F.transform(F.sequence(F.lit(0), last, F.lit(RUN)), lambda i: F.transform(
+            F.sequence(i, F.least(i + (RUN - 1), last)), lambda j: F.get(held, j)))
+
+    ended = lambda past: F.coalesce(F.get(past, F.size(past) - 1)["at"], F.lit(0))
+    return F.aggregate(
+        let(items, runs), F.array().cast(f"array<struct<at:int,out:{kind}>>"),
+        lambda past, run: F.concat(past, F.array(step(ended(past), run))),
+        lambda past: done(ended(past), F.flatten(F.transform(past, lambda x: x["out"]))))
+
+
 def matches(text: Column, rule: Rule, order: int) -> Column:
     """Matches of a rule in a text as ``struct(start, ord, kind, end)``, in code points, leftmost and non-overlapping.
 
@@ -128,17 +150,17 @@ def matches(text: Column, rule: Rule, order: int) -> Column:
         pairs = F.arrays_zip(whole.alias("m"), (tested if rule.group else whole).alias("g"))
         sizes = F.zip_with(F.slice(gaps, 1, F.size(whole)), pairs, lambda gap, m: F.struct(
             F.length(gap).alias("gap"), F.length(m["m"]).alias("size"), (F.length(m["g"]) >= rule.least).alias("good")))
-        return F.aggregate(
-            sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>").alias("out")),
+        spans = lambda at, part: F.aggregate(
+            part, F.struct(at.alias("at"), F.array().cast(SPANS).alias("out")),
             lambda a, x: F.struct(
                 (a["at"] + x["gap"] + x["size"]).alias("at"),
                 F.when(x["good"], F.concat(a["out"], F.array(F.struct(
                     (a["at"] + x["gap"]).alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"),
-                    (a["at"] + x["gap"] + x["size"]).alias("end"))))).otherwise(a["out"]).alias("out")),
-            lambda a: a["out"])
+                    (a["at"] + x["gap"] + x["size"]).alias("end"))))).otherwise(a["out"]).alias("out")))
+        return in_runs(sizes, SPANS, spans, lambda at, out: out)
 
     return F.when(text.rlike(rule.pattern), let(F.regexp_extract_all(text, pattern, F.lit(0)), added)).otherwise(
-        F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>"))
+        F.array().cast(SPANS))
 
 
 def scanned(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,7 +171,7 @@ def scanned(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str =
     """
     rules = RULES if rules is None else rules
     found = candidates(docs, rules, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds"))
-    text, nothing = F.coalesce(F.col(text_col), F.lit("")), F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
+    text, nothing = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(SPANS)
     parts = [
         F.when(F.array_contains("__kinds", rule.kind), matches(text, rule, i)).otherwise(nothing) if trigram_query(rule)
         else matches(text, rule, i) for i, rule in enumerate(rules)]
@@ -163,13 +185,16 @@ def shown(secrets: Column) -> Column:
 
 def redacted(text: Column, secrets: Column, mark: str = "[SECRET]") -> Column:
     """The text with each run of secret characters replaced by ``mark``; secrets that overlap become one."""
-    rest = F.aggregate(
-        secrets, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when((s["start"] < a["at"]) & (a["at"] > 0), a["out"]).otherwise(
-                F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    pieces = lambda at, run: let(
+        F.substring(text, at + 1, F.greatest(F.element_at(run, -1)["start"] - at, F.lit(0))),
+        lambda near: F.aggregate(
+            run, F.struct(at.alias("at"), F.array().cast("array<string>").alias("out")),
+            lambda a, s: F.struct(
+                F.greatest(a["at"], s["end"]).alias("at"),
+                F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.array(F.concat(
+                    F.substring(near, a["at"] - at + 1, s["start"] - a["at"]), F.lit(mark))))).alias("out"))))
+    rest = in_runs(secrets, "array<string>", pieces, lambda at, out: F.concat(
+        F.array_join(out, ""), F.substring(text, at + 1, F.length(text))))
     return F.when(F.size(secrets) > 0, rest).otherwise(text)
 
 

@@ -96,6 +96,14 @@ def test_license_finds_every_notice_within_its_errors():
             assert any(f[1] == notice and f[4] <= n for f in found), (notice, n, text)
 
 
+def test_license_text_of_very_many_notices(spark):
+    text = "The MIT License: relaesed under the mit license; " * 2000
+    row = license_scan.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [p.first_word for p in row.places] == sorted(8 * i + k for i in range(2000) for k in (1, 6))
+    spans = [(m.start, m.end) for m in row.matches if m.notice == "released under the mit license"]
+    assert spans == [(49 * i + 17, 49 * i + 47) for i in range(2000)]
+
+
 def test_license_spans_are_places_of_the_text(docs):
     rows = [r for r in license_scan.license_scan(docs).collect() if r.matches]
     texts = dict(TEXTS)
@@ -156,6 +164,14 @@ def test_secret_spans(spark, none):
     assert secret_scan.scanned(none).count() == 0
 
 
+def test_text_of_very_many_secrets(spark):
+    rng = random.Random(4)
+    text = " ".join(f"é{rng.getrandbits(64):016x}" + " token=ABCDEFGHIJKLMNOP" * (i % 7 == 0) for i in range(3000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(s) for s in secret_scan.scanned(df).first().secrets] == plain_spans(text)
+    assert secret_scan.without_secrets(df).first().text == re.sub("token=[A-P]+|[0-9a-f]{16}", "[SECRET]", text)
+
+
 def test_secret_queries_are_necessary():
     for rule in secret_scan.RULES:
         for text in SECRETS:
