@@ -28,17 +28,6 @@ PREDICTION_COLUMNS = ("vehicle_id", "risk_probability", "risk_label", "predicted
 # readings of one vehicle with the same timestamp; it is not part of the bronze contract.
 SEQUENCE = "seq"
 
-
-def _struct(names, kind) -> T.StructType:
-    return T.StructType([T.StructField(name, kind, True) for name in names])
-
-
-MESSAGE_SCHEMA = (
-    _struct(IDENTITY_FIELDS, T.StringType())
-    .add("obd", _struct(OBD_FIELDS, T.DoubleType()))
-    .add("gps", _struct(GPS_FIELDS, T.DoubleType()))
-)
-
 BRONZE_SCHEMA = T.StructType(
     [T.StructField("timestamp", T.TimestampType())]
     + [T.StructField(name, T.StringType()) for name in IDENTITY_FIELDS[1:]]
