@@ -40,6 +40,11 @@ class Rule:
         return "".join(p if isinstance(p, str) else "(" + "|".join(map(either, p)) + ")" for p in self.parts)
 
 
+# What follows a key's header: all up to its END line (no other line of dashes lies between, so a scan ends at the next header);
+# where that is missing, PEM fields and all base64 from a first long run on.
+PEM_BODY = (r"""(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,6}END [A-Z ]*PRIVATE KEY-----|(?:[\x20\x09-\x0D]*[A-Z][A-Za-z0-9-]*:[^\x0A]*\x0A){0,5}"""
+            r"""[\\"'+>#*\x20\x09-\x0D]*[A-Za-z0-9+/]{16,}[A-Za-z0-9+/=\\"'>#*\x20\x09-\x0D]*)?""")
+
 # Assign, access and hex are the base rules; the others are well-known shapes of tokens and keys. A run that
 # must have so many characters is written with that count where this finds the same matches as a test afterwards.
 RULES = (
@@ -47,7 +52,7 @@ RULES = (
                     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), group=2, least=12, fold=True),
     Rule("access", (("AKIA",), "[A-Z0-9]{14,}")),
     Rule("hex", ("[0-9a-f]{16,}",)),
-    Rule("pem", (("-----BEGIN ",), "[A-Z ]*", ("PRIVATE KEY-----",))),
+    Rule("pem", (("-----BEGIN ",), "[A-Z ]*", ("PRIVATE KEY-----",), PEM_BODY)),
     Rule("github", (("ghp_", "gho_", "ghs_", "github_pat_"), "[A-Za-z0-9_]{20,}")),
     Rule("slack", (("xoxb-", "xoxp-", "xoxa-"), "[A-Za-z0-9-]{15,}")),
     Rule("stripe", (("sk_live_", "rk_live_"), "[A-Za-z0-9]{16,}")),
