@@ -3,7 +3,8 @@
 A text's fingerprint holds the majority of each bit over the hashes of its word shingles. Equal fingerprints are joined
 first. Two fingerprints of at most d differing bits are found through keys: the bits are cut into blocks, and where there are
 more blocks than d, two such fingerprints agree on a whole block (pigeonhole), so that nothing is missed. A key that
-too many fingerprints share is cut again, by blocks of the remaining bits, until its bucket is small.
+too many fingerprints share is cut again, by blocks of the remaining bits, until its bucket is small. With d blocks or fewer
+a further cut would lose pairs, so such a key is dealt over parts instead, and each two parts make a bucket.
 
 Within a bucket, fingerprints are sorted by their rank in Gray order, so that neighbours share long bit patterns. Groups of
 neighbours become leaf nodes, groups of nodes upper nodes, and a node holds the bits on which all below it agree.
@@ -281,16 +282,34 @@ def forest(keyed: DataFrame, most: int) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long")
 
 
+def paired_parts(keyed: DataFrame, large: DataFrame, limit: int) -> DataFrame:
+    """``keyed`` of the large keys (``path``, ``key``, ``count``) in buckets of about ``limit`` rows that hold any two of a key's rows.
+
+    Rows are dealt by hash over parts of half that size, and each two parts make a bucket.
+    """
+    parts = F.ceil(F.col("count") * 2 / limit).cast("int")
+    mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    with_part = keyed.join(large.select("path", "key", parts.alias("parts")), ["path", "key"]).withColumn("mine", mine)
+    both = with_part.withColumn("other", F.explode(F.expr("filter(sequence(0, parts - 1), x -> x <> mine)")))
+    bucket = F.concat_ws("-", "path", F.least("mine", "other"), F.greatest("mine", "other"))
+    return both.select(bucket.alias("path"), "key", "fp")
+
+
 def keyed_within(nodes: DataFrame, width: int, most: int, n_blocks: int, limit: int) -> list[DataFrame]:
-    """Fingerprints under keys, in tables whose buckets hold ``limit`` rows at most unless all their bits are used up."""
+    """Fingerprints under keys, in tables whose buckets hold about ``limit`` rows at most unless all their bits are used up.
+
+    No pair that shares a key is lost: a key is cut by further blocks only where pigeonhole finds all its links again.
+    """
     tables, rest = [], nodes.select(F.lit("").alias("path"), F.lit(0).cast("long").alias("key"), "fp")
     for _ in range(width):
         keyed = written(with_keys(rest, width, n_blocks), "simhash-keys")
-        large = keyed.groupBy("path", "key").count().where(F.col("count") > limit).select("path", "key")
+        large = keyed.groupBy("path", "key").count().where(F.col("count") > limit)
         if large.isEmpty():
             return [*tables, keyed]
         large = written(large, "simhash-large")
         tables.append(keyed.join(large, ["path", "key"], "left_anti"))
+        if n_blocks <= most:
+            return [*tables, paired_parts(keyed, large, limit)]
         rest = keyed.join(large, ["path", "key"], "left_semi")
     return [*tables, rest]
 

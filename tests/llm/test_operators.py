@@ -292,6 +292,26 @@ def test_simhash_links_by_index(spark, limit):
     assert label.tolist() == plain_classes(prints, 2)
 
 
+def test_large_buckets_of_wide_fingerprints_lose_no_link(spark):
+    """Pairs that agree on one of 32 blocks only, the same for all: a further cut would miss them."""
+    rng = random.Random(10)
+    prints = []
+    for _ in range(12):
+        base = rng.getrandbits(512) & ((1 << 496) - 1)
+        for _ in range(10):  # two bits of each block but the first, so that two such prints differ in most blocks
+            prints.append(base ^ sum(1 << 16 * k + rng.randrange(16) for k in range(31)))
+    nodes = spark.createDataFrame([(bytearray(p.to_bytes(64, "big")),) for p in prints], "fp binary")
+    ids = simhash.node_ids([p.to_bytes(64, "big") for p in prints]).tolist()
+    at = {x: k for k, x in enumerate(ids)}
+    labels = []
+    for limit in (20_000, 20):
+        tables = simhash.keyed_within(nodes, 512, 86, 32, limit)
+        edges = [r for t in tables for r in simhash.forest(t.repartition("path", "key").sortWithinPartitions("path", "key"), 86).collect()]
+        labels.append(simhash.merged(np.arange(len(ids)), np.array([at[r.a] for r in edges]), np.array([at[r.b] for r in edges])).tolist())
+        assert max(r["count"] for t in tables for r in t.groupBy("path", "key").count().collect()) <= (120 if limit > 120 else 2 * limit)
+    assert labels[0] == labels[1] == plain_classes(prints, 86) and len(set(labels[0])) == 12
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, 5), (-7, 100), (200, 201), (201, 202), (300, 300)]
     got = {r.id: r.component for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
