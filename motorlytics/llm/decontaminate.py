@@ -4,7 +4,8 @@ Each mask picks some of the words in a short window and ignores the others, so a
 place, and masks of different shape survive different ones. Test and training texts are hashed with the same masks. A
 bitmap of fixed size lets training texts drop windows that no test item has; what stays is joined on the exact hash. Each
 hit gives a diagonal (place in the document less place in the item); along it words are compared, and the best run in
-which a mismatch costs as much as four matches is the overlap.
+which a mismatch costs as much as four matches is the overlap. Where that run is too short, the longest stretch with at most
+a fifth of mismatches is, so that substitutions near the ends count like any other.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from motorlytics.llm.common import as_bytes, batch, slices, table
 from motorlytics.session import written
 
-# 1: the word counts, 0: it doesn't. The last is used for items that are too short for the others, and only then.
-MASKS = ("11101011", "110010111", "1101100101")
-SHORT_MASK = "1111"
+# 1: the word counts, 0: it doesn't. Wherever at most a fifth of 13 or more words differ, one of MASKS meets none of these (any
+# such stretch has a part of 13 to 25 words of which at most a fifth differ). SHORT_MASKS do the same for items of 4 to 12 words.
+MASKS = ("1101111", "11010001011", "1101100011", "1011111")
+SHORT_MASKS = ("1111", "11011", "11101", "10111")
 # An overlap counts from this many words on, or if it covers a shorter item; at most a fifth of its words differ.
 LEAST_WORDS = 13
 MISMATCH_COST = 4
@@ -87,7 +89,8 @@ def places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64), (hashes & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
 
 
-def item_tables(benchmark: DataFrame, item_col: str, text_col: str, masks: tuple[str, ...], short: str) -> tuple[DataFrame, DataFrame]:
+def item_tables(benchmark: DataFrame, item_col: str, text_col: str, masks: tuple[str, ...], short: tuple[str, ...],
+                least_words: int) -> tuple[DataFrame, DataFrame]:
     """``item_id, words`` and ``hash, item_id, place, b0, b1`` of the test items."""
     schema = pa.schema([("item_id", pa.int64()), ("words", pa.list_(pa.int64()))])
     seed_schema = pa.schema([("hash", pa.int64()), ("item_id", pa.int64()), ("place", pa.int64()), ("b0", pa.int64()), ("b1", pa.int64())])
@@ -104,8 +107,7 @@ def item_tables(benchmark: DataFrame, item_col: str, text_col: str, masks: tuple
         for rows in batches:
             for item, words in zip(rows.column(0).to_pylist(), rows.column(1)):
                 words = np.array(words.as_py(), np.int64).view(np.uint64)
-                fitting = [m for m in masks if len(m) <= len(words)] or [short]
-                for mask in fitting:
+                for mask in masks if len(words) >= least_words else short:
                     hashes, at = seeds(words, np.array([len(words)]), mask)
                     yield batch(seed_schema, [hashes.view(np.int64), [item] * len(at), at, *places(hashes)])
 
@@ -138,20 +140,34 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int,
     return int(same[first:end].sum()), low + first, low + end
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, short: str = SHORT_MASK,
+def tolerant(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+    """(matches, first, end) of the longest stretch of a diagonal with at most one mismatch to MISMATCH_COST matches."""
+    low, high = max(0, -diagonal), min(len(item), len(doc) - diagonal)
+    if high <= low:
+        return 0, 0, 0
+    same = doc[low + diagonal : high + diagonal] == item[low:high]
+    score = np.concatenate([[0], np.cumsum(np.where(same, 1, -MISMATCH_COST))])
+    highest = np.maximum.accumulate(score[::-1])[::-1]  # from each place on; it falls
+    ends = np.searchsorted(-highest, -score, "right") - 1
+    first = int(np.argmax(ends - np.arange(len(score))))
+    end = int(ends[first])
+    return int(same[first:end].sum()), low + first, low + end
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, short: tuple[str, ...] = SHORT_MASKS,
           least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
     """One row per document and test item that overlap: ``doc_id``, ``text_hash``, ``item_id``, ``item_words``,
     ``overlap_words``, ``matches``, ``first_word``, ``last_word`` (in the document, from 0) and ``item_first``.
 
     Rows that repeat id and text are reported once. Null texts have no words; null ids are ids like any other. Items of
-    fewer words than the short mask have no seed and are never reported. Empty tables give no rows.
+    fewer words than the shortest mask have no seed and are never reported. Empty tables give no rows.
     """
     spark = docs.sparkSession
-    items, seed_rows = item_tables(benchmark, item_col, item_text_col, masks, short)
+    items, seed_rows = item_tables(benchmark, item_col, item_text_col, masks, short, least_words)
     shared = spark.sparkContext.broadcast(bitmap(seed_rows))
-    some_short = not items.where(F.size("words").between(len(short), min(map(len, masks)) - 1)).isEmpty()
-    used = masks + ((short,) if some_short else ())
+    some_short = not items.where(F.size("words").between(min(map(len, short)), least_words - 1)).isEmpty()
+    used = masks + (short if some_short else ())
     kind = pa.struct([("hash", pa.int64()), ("place", pa.int64())])
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("words", pa.list_(pa.int64())), ("seeds", pa.list_(kind))])
 
@@ -199,9 +215,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
             out = []
             for doc, h, item, diagonals, words, text in zip(*(c.to_pylist() for c in rows.columns)):
                 words, text = np.array(words, np.int64), np.array(text, np.int64)
-                best = max(((*overlap(text, words, d), -d) for d in sorted(diagonals)), key=lambda x: (x[0], x[1] - x[2], x[3]))
-                matches, first, end, diagonal = best
-                if end - first >= min(least_words, len(words)):
+                least = min(least_words, len(words))
+                runs = [(*f(text, words, d), -d) for f in (overlap, tolerant) for d in sorted(diagonals)]
+                runs = [r for r in runs[: len(diagonals)] if r[2] - r[1] >= least] or [r for r in runs if r[2] - r[1] >= least]
+                if runs:
+                    matches, first, end, diagonal = max(runs, key=lambda x: (x[0], x[1] - x[2], x[3]))
                     out.append((doc, h, item, len(words), end - first, matches, first - diagonal, end - 1 - diagonal, first))
             yield batch(out_schema, list(zip(*out)) if out else [[]] * len(names))
 

@@ -463,3 +463,31 @@ def test_overlap_is_the_best_run():
         assert matches == sum(doc[q + d] == item[q] for q in range(first, end))
 
 
+def test_every_overlap_within_the_tolerance_is_found(spark):
+    """Random substitutions, up to a fifth of the words: brute force over all diagonals and stretches says the same."""
+    rng = random.Random(14)
+    items = [[f"w{i}x{k}" for k in range(n)] for i, n in enumerate((4, 5, 6, 8, 10, 12, 13, 15, 16, 20, 25, 30))]
+    texts = []
+    for i, item in enumerate(items):
+        for n in range(7):
+            for _ in range(6):
+                gone = set(rng.sample(range(len(item)), min(n, len(item))))
+                texts.append(["left"] * 3 + [f"other{k}" if k in gone else w for k, w in enumerate(item)] + ["right"] * 2)
+
+    def leaked(doc, item):
+        least = min(13, len(item))
+        for d in range(-len(item) + 1, len(doc)):
+            same = [0 <= k + d < len(doc) and doc[k + d] == w for k, w in enumerate(item)]
+            inside = [k for k in range(len(item)) if 0 <= k + d < len(doc)]
+            for a in inside:
+                for b in range(a + least, inside[-1] + 2):
+                    if 5 * (b - a - sum(same[a:b])) <= b - a:
+                        return True
+        return False
+
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.leaks(df, bench).collect()
+    expected = {(k, k // 42) for k, w in enumerate(texts) if leaked(w, items[k // 42])}
+    assert {(r.doc_id, r.item_id) for r in rows} == expected and 100 < len(expected) < len(texts)
+    assert all(5 * (r.overlap_words - r.matches) <= r.overlap_words for r in rows)
