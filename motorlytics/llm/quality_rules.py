@@ -1,8 +1,8 @@
 """Quality rules: a table of thresholds compiled into one Spark projection, without user functions.
 
 Metrics come from built-in expressions over the words and lines of a text, nested in one expression that computes each part
-once. Each row of ``RULES`` names a metric and the range it must stay in; ``verdict`` turns the table into one Boolean
-expression. The same table gives the SQL of the check.
+once. Stop words judge only the languages that have a list, and word lengths only scripts with spaces. Each row of ``RULES`` names a metric and the range it must stay in; ``verdict`` turns the table into one Boolean
+expression. The same table gives the SQL of the check, for texts of the listed languages.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from motorlytics.llm.common import let, table
 # The base rule.
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
-# Frequent words of the languages the corpus is written in.
+# Frequent words of English, German, French and Spanish: what the stop-word bound can judge.
 STOP_WORDS = ("the of and to in a is that it for on was be with as by this are der die und den von zu das mit des auf "
               "ist ein le la les et en un une du de que el los las y por con para se del al est pour dans").split()
 
 # metric, least, most (None: open). A metric is a ratio of counts, so the rules don't depend on length; the bounds are wide
-# enough that prose in any language stays, also where stop words are rare (see the rule on words without stop words).
+# enough that prose stays. ``UNJUDGED`` names the texts that a bound says nothing about.
 RULES = (
     ("n_words", LEAST_WORDS, None),
     ("symbols_per_word", None, 0.2),
@@ -29,6 +29,14 @@ RULES = (
     ("capital_word_ratio", None, 0.5),
     ("duplicate_line_ratio", None, 0.5),
 )
+# Signs of a language without stop words above: letters that the four languages don't have, or its own frequent words.
+OTHER_LETTERS = r"[^\p{L}]|[\x00-\x7FäöüßàâæçéèêëîïôœùûÿñáíóúÄÖÜẞÀÂÆÇÉÈÊËÎÏÔŒÙÛŸÑÁÍÓÚºª]"
+OTHER_WORDS = ("ja ei hän että joka oli mutta kun niin see kui ta ning és egy hogy nem az yang dan dengan untuk dari ini itu tidak pada "
+               "na ya wa kwa ni katika za ang ng sa mga ay ve bir bu için ile się nie jest że och att det som av är og ikke er på "
+               "het een niet di che il non della sono não uma em da do și să este je su eta ez dhe një nuk kaj estas waa oo iyo "
+               "dat nie het vir yn yr ac ir kad tai ar ka").split()
+OTHER_LETTERS_EVERY, OTHER_WORDS_EVERY = 10, 20  # one such letter in so many words, or one such word
+SPACED_LETTERS = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"
 CAPITALS = r"(?<![^\x20\x09-\x0D])[A-Z][A-Z]+[.,!?;:]*(?![^\x20\x09-\x0D])"
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -94,19 +102,26 @@ def measures(text: Column, rules=None) -> Column:
         (c["lines"]["dup"] / F.greatest(c["lines"]["n"], F.lit(1))).alias("duplicate_line_ratio"),
     )
     failed = lambda m: (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
+    other_words = lambda: F.size(F.filter(F.split(plain, SPACES), lambda w: w.isin(OTHER_WORDS)))
+    unjudged = lambda m: {
+        "stop_word_ratio": (F.length(F.regexp_replace(text, OTHER_LETTERS, "")) * OTHER_LETTERS_EVERY >= m["n_words"])
+        | (other_words() * OTHER_WORDS_EVERY >= m["n_words"]),
+        "mean_word_chars": F.length(F.regexp_replace(text, SPACED_LETTERS, "")) * 2 >= m["word_chars"]}
     judged = lambda m: F.struct(*[m[x].alias(x) for x in METRICS], failed(m).alias("base_failed"),
-                                (~failed(m) & verdict(m, rules)).alias("kept"))
+                                (~failed(m) & verdict(m, rules, unjudged(m))).alias("kept"))
     return let(split(text), lambda words: let(counts(words), lambda c: let(ratios(c), judged)))
 
 
-def verdict(metrics: Column, rules) -> Column:
-    """The table as one expression: every metric within its range."""
+def verdict(metrics: Column, rules, unjudged=None) -> Column:
+    """The table as one expression: every metric within its range, or the text ``unjudged`` by it (looked at only outside)."""
     good = F.lit(True)
     for metric, least, most in rules:
+        within = F.lit(True)
         if least is not None:
-            good = good & (metrics[metric] >= least)
+            within = within & (metrics[metric] >= least)
         if most is not None:
-            good = good & (metrics[metric] <= most)
+            within = within & (metrics[metric] <= most)
+        good = good & (within | unjudged[metric] if unjudged and metric in unjudged else within)
     return good
 
 

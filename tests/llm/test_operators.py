@@ -136,6 +136,32 @@ def test_quality_filter_keeps_columns(docs, none):
     assert quality_rules.good_documents(none).count() == 0
 
 
+OTHER_PROSE = {
+    "ru": "Утром старик вышел из дома и долго смотрел на реку которая медленно несла лёд мимо пустых берегов {}",
+    "el": "Το πρωί ο γέρος βγήκε από το σπίτι και κοίταξε για πολλή ώρα το ποτάμι που κυλούσε αργά {}",
+    "tr": "Sabah yaşlı adam evden çıktı ve uzun süre nehre baktı buzlar boş kıyıların yanından ağır ağır geçiyordu {}",
+    "fi": "Aamulla vanhus lähti talosta ja katsoi kauan jokea joka kuljetti hitaasti jäätä mutta hän ei sanonut mitään {}",
+    "pl": "Rano starzec wyszedł z domu i długo patrzył na rzekę która powoli niosła lód obok pustych brzegów {}",
+    "id": "Pagi hari lelaki tua itu keluar dari rumah dan lama memandang sungai yang mengalir perlahan dengan tenang {}",
+    "th": "เช้าวันนั้นชายชราเดินออกจากบ้าน แล้วมองแม่น้ำอยู่นานมากทีเดียว น้ำแข็งไหลผ่านตลิ่งที่ว่างเปล่า เขาคิดถึงลูกชายที่อยู่ไกลมาก "
+          "ซึ่งเคยตกปลาด้วยกันทุกเช้า แต่ตอนนี้ไม่มีใครอยู่ที่นั่น ลมพัดเบาเบาผ่านต้นไม้ใหญ่ จนกระทั่งดวงอาทิตย์ขึ้นสูงแล้ว {}",
+}
+
+
+def test_quality_keeps_clean_prose_of_unlisted_languages(spark):
+    def prose(line):
+        words = line.split()[:-1]
+        if len(words) < 10:  # long phrases without spaces inside: two each, so that few windows repeat
+            words = [a + b for a in words for b in words]
+        rng = random.Random(3)
+        return "\n".join(" ".join(rng.sample(words, len(words))) + f" {k}" for k in range(30))
+    rows = [(lang, prose(line)) for lang, line in OTHER_PROSE.items()]
+    junk = [("junk", " ".join(f"cheap{k} pills{k} online{k} buy{k}" for k in range(40)))]
+    df = spark.createDataFrame(rows + junk, "doc_id string, text string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.judged(df).collect()}
+    assert got == {**{lang: (False, True) for lang in OTHER_PROSE}, "junk": (False, False)}
+
+
 # 3
 
 
