@@ -1,6 +1,6 @@
 """Language of texts, word by word, with a linear-chain conditional random field.
 
-A word is described by its affixes, its byte n-grams and how often it occurs in each language (the lexicon). The field adds
+Words of scripts without spaces are cut into short pieces first. A word is described by its affixes, its byte n-grams and how often it occurs in each language (the lexicon). The field adds
 learned weights of transitions, and forward-backward gives each word's probability of each language, given the words
 around it. A text's language is the one with the largest sum over its words.
 
@@ -11,6 +11,7 @@ the frequent ones of the sample; their counts are taken over all labelled texts.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,13 @@ WINDOW = 32
 FEATURE_BITS = 15
 EPOCHS = 6
 KNOWN_WORDS = 300_000
-WIDTH = 16
+SCORE_BYTES = 1 << 15
+# Characters of scripts without spaces between words, and how many make a piece.
+IDEOGRAPHS = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+BRAHMIC = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u19e0-\u19ff\ua9e0-\ua9ff\uaa60-\uaa7f"
+_UNSPACED = re.compile(f"[{IDEOGRAPHS}{BRAHMIC}]")
+_PIECES = re.compile(f"[{IDEOGRAPHS}]{{1,2}}|[{BRAHMIC}]{{1,5}}|[^{IDEOGRAPHS}{BRAHMIC}]+")
+_UNSPACED_BYTES = re.compile(b"[\xe0-\xf4]")  # first bytes of characters of three and four bytes
 
 # ASCII letters in lower case and all other characters above ASCII make words.
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -44,21 +51,46 @@ def words_of(text: str) -> list[bytes]:
     return found
 
 
-def described(words: list[bytes]) -> np.ndarray:
-    """Numbers of the features of each word: prefixes and suffixes of 1 to 3 bytes, bi- and trigrams with their ends."""
-    head = np.array(words, f"S{WIDTH}").view(np.uint8).reshape(len(words), WIDTH).astype(np.uint64)
+def pieces_of(words: list[bytes]) -> list[bytes]:
+    """The words with those of unspaced scripts cut into short pieces, each about as much text as a word of other scripts."""
+    if not any(map(_UNSPACED_BYTES.search, words)):
+        return words
+    out: list[bytes] = []
+    for w in words:
+        if _UNSPACED_BYTES.search(w) and _UNSPACED.search(text := w.decode()):
+            out += [p.encode() for p in _PIECES.findall(text) if any(c.isalpha() for c in p)] or [w]
+        else:
+            out.append(w)
+    return out
+
+
+def described(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the features of all words in a row, and how many each has: prefixes and suffixes of 1 to 3 bytes, then bi- and
+    trigrams with the word's ends, over the whole word."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    head = np.array([w[:3] for w in words], "S3").view(np.uint8).reshape(len(words), 3).astype(np.uint64)
     tail = np.array([w[:-4:-1] for w in words], "S3").view(np.uint8).reshape(len(words), 3).astype(np.uint64)
-    prefixes = [head[:, 0], head[:, 0] << 8 | head[:, 1], head[:, 0] << 16 | head[:, 1] << 8 | head[:, 2]]
-    suffixes = [tail[:, 0], tail[:, 0] << 8 | tail[:, 1], tail[:, 0] << 16 | tail[:, 1] << 8 | tail[:, 2]]
-    padded = np.concatenate([np.zeros((len(words), 1), np.uint64), head, np.zeros((len(words), 2), np.uint64)], axis=1)
-    two = padded[:, :-2] << 8 | padded[:, 1:-1]
-    three = two[:, :-1] << 8 | padded[:, 2:-1]
-    kinds = [*((p, 1 + i) for i, p in enumerate(prefixes)), *((x, 4 + i) for i, x in enumerate(suffixes))]
-    columns = [x[:, None] | np.uint64(k << 32) for x, k in kinds] + [two | np.uint64(7 << 32), three | np.uint64(8 << 32)]
-    codes = np.concatenate(columns, axis=1)
-    hashed = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FEATURE_BITS)
-    empty = (codes & np.uint64(0xFFFFFFFF)) == 0
-    return np.where(empty, np.uint64(1 << FEATURE_BITS), hashed).astype(np.int64)  # the last row stays zero
+    ends = [x for y in (head, tail) for x in (y[:, 0], y[:, 0] << 8 | y[:, 1], y[:, 0] << 16 | y[:, 1] << 8 | y[:, 2])]
+    raw = np.frombuffer(b"".join(b"\0" + w + b"\0\0" for w in words), np.uint8).astype(np.uint64)
+    first = np.cumsum(sizes + 3) - (sizes + 3)
+    owner = np.repeat(np.arange(len(words)), sizes + 1)
+    at = np.arange(len(owner)) + 2 * owner  # the size + 1 places of each word in ``raw``
+    two = raw[at] << 8 | raw[at + 1]
+    three = two << 8 | raw[at + 2]
+    counts = 2 * (sizes + 1) + len(ends)
+    start = np.cumsum(counts) - counts
+    codes = np.empty(int(counts.sum()), np.uint64)
+    for k, x in enumerate(ends):
+        codes[start + k] = x | np.uint64((1 + k) << 32)
+    place = start[owner] + len(ends) + at - first[owner]
+    codes[place] = two | np.uint64(7 << 32)
+    codes[place + sizes[owner] + 1] = three | np.uint64(8 << 32)
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64), counts
+
+
+def summed(weights: np.ndarray, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of the weights of each word's features."""
+    return np.add.reduceat(weights[features], np.cumsum(counts) - counts, axis=0)
 
 
 @dataclass
@@ -77,7 +109,7 @@ class Field:
 
     def scores(self, words: list[bytes]) -> np.ndarray:
         """The weight of each label for each word, before its neighbours count."""
-        out = [self.weights[described(words[i : i + 4096])].sum(1) for i in range(0, len(words), 4096)]
+        out = [summed(self.weights, *described(words[a:b])) for a, b in slices(words, SCORE_BYTES)]
         return np.concatenate(out) + self.lexical * self.lexical_scores(words)
 
 
@@ -129,7 +161,7 @@ def fitted(langs: list[str], samples: list[tuple[int, list[bytes]]], lexicon: di
            epochs: int = EPOCHS) -> Field:
     """Maximum likelihood by adaptive gradient steps over small batches of windows, with weights shrunk a little."""
     rng, k = np.random.default_rng(7), len(langs)
-    field = Field(langs, lexicon, np.zeros(((1 << FEATURE_BITS) + 1, k), np.float32), np.ones(k, np.float32), np.zeros((k, k), np.float32))
+    field = Field(langs, lexicon, np.zeros((1 << FEATURE_BITS, k), np.float32), np.ones(k, np.float32), np.zeros((k, k), np.float32))
     windows = windows_of(samples, segments, rng)
     squares = [np.full_like(x, 1e-3) for x in (field.weights, field.lexical, field.steps)]
     for _ in range(epochs):
@@ -138,8 +170,8 @@ def fitted(langs: list[str], samples: list[tuple[int, list[bytes]]], lexicon: di
             some = [windows[i] for i in order[low : low + 256]]
             lengths = np.array([len(w) for w, _ in some])
             types = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in some for w in words))}
-            features, lexical = described(list(types)), field.lexical_scores(list(types))
-            per_type = field.weights[features].sum(1) + field.lexical * lexical
+            (features, counts), lexical = described(list(types)), field.lexical_scores(list(types))
+            per_type = summed(field.weights, features, counts) + field.lexical * lexical
             at, gold = np.zeros((len(some), WINDOW), np.int64), np.zeros((len(some), WINDOW), np.int64)
             for i, (words, labels) in enumerate(some):
                 at[i, : len(words)] = [types[w] for w in words]
@@ -149,15 +181,15 @@ def fitted(langs: list[str], samples: list[tuple[int, list[bytes]]], lexicon: di
             found, forward, onward = marginals(scores, lengths, field.steps)
             error = np.where(there[:, :, None], np.eye(k, dtype=np.float32)[gold] - found, 0)
             by_type = np.stack([np.bincount(at.ravel(), error[:, :, c].ravel(), len(types)) for c in range(k)], 1)
-            gradient = np.stack([np.bincount(features.ravel(), np.repeat(by_type[:, c], features.shape[1]), len(field.weights)) for c in range(k)], 1)
-            gradient[-1] = 0
+            gradient = np.stack([np.bincount(features, np.repeat(by_type[:, c], counts), len(field.weights)) for c in range(k)], 1)
             pairs = there[:, 1:]
-            joint = forward[:, :-1, :, None] * np.exp(field.steps - field.steps.max()) * onward[:, 1:, None, :]
-            joint /= joint.sum((2, 3), keepdims=True)
+            moves = np.exp(field.steps - field.steps.max())
+            before, after = forward[:, :-1][pairs], onward[:, 1:][pairs]
+            joint = moves * ((before / ((before @ moves) * after).sum(1, keepdims=True)).T @ after)
             seen = np.zeros((k, k))
             np.add.at(seen, (gold[:, :-1][pairs], gold[:, 1:][pairs]), 1)
             for x, g, q in zip((field.weights, field.lexical, field.steps),
-                               (gradient, (by_type * lexical).sum(0), seen - joint[pairs].sum(0)), squares):
+                               (gradient, (by_type * lexical).sum(0), seen - joint), squares):
                 g = (g / len(some) - 1e-5 * x).astype(np.float32)
                 q += g * g
                 x += 0.2 * g / np.sqrt(q)
@@ -181,13 +213,13 @@ def _lexicon(train: DataFrame, langs: list[str], candidates: list[bytes]) -> dic
         for rows in batches:
             for lang, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 if lang in number:
-                    found = Counter(words_of(text))
+                    found = Counter(pieces_of(words_of(text)))
                     counts.setdefault(number[lang], Counter()).update({w: n for w, n in found.items() if w in wanted} | {b"": found.total()})
         for label, found in counts.items():
             yield batch(schema, [[label] * len(found), list(found), list(found.values())])
 
     rows = train.select("lang", "text").mapInArrow(run, "label int, word binary, n long").groupBy("label", "word").agg(F.sum("n").alias("n"))
-    counts = {w: np.zeros(len(langs)) for w in [b"", *candidates]}
+    counts = {w: np.zeros(len(langs), np.float32 if w else float) for w in [b"", *candidates]}
     for label, word, n in rows.toLocalIterator():  # as many as candidates times languages at most
         counts[bytes(word)][label] = n
     total = np.maximum(counts.pop(b""), 1)
@@ -209,7 +241,7 @@ def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon_words:
     drawn = train.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(1 << 32)) < share * float(1 << 32)).dropDuplicates(["lang", "h"])
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     sample = drawn.withColumn("r", first).where(F.col("r") <= sample_docs).orderBy("lang", "h").collect()
-    samples = [(langs.index(r["lang"]), words_of(r["text"])) for r in sample]
+    samples = [(langs.index(r["lang"]), pieces_of(words_of(r["text"]))) for r in sample]
     candidates: dict[bytes, None] = {}
     for label in range(len(langs)):
         found = Counter(w for k, words in samples if k == label for w in words)
@@ -223,7 +255,7 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
     """``doc_id``, ``lang_pred``, ``score`` (the label's share of the words), ``n_words``, ``shares`` (by label) and ``n_switches``.
 
     ``und`` with score 0 if a text is null or has no letter, or without a field. Labels of words come from windows of WINDOW
-    words, each text cut from its start; all its words count. Null ids and repeated rows stay; an empty table gives no rows.
+    words, each text cut from its start; all its words count, and words of unspaced scripts by their pieces (``n_words`` has them whole). Null ids and repeated rows stay; an empty table gives no rows.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()),
                         ("shares", pa.list_(pa.float64())), ("n_switches", pa.int64())])
@@ -258,11 +290,12 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
         for rows in batches:
             texts = [words_of(t) if t and model else [] for t in rows.column(1).to_pylist()]
             out = [("und", 0.0, len(t), None, 0) for t in texts]
+            pieces = [pieces_of(t) for t in texts]
             some = [i for i, t in enumerate(texts) if t]
-            for a, b in slices([b"x" * 8 * len(texts[i]) for i in some], 1 << 21):
+            for a, b in slices([b"x" * 8 * len(pieces[i]) for i in some], 1 << 21):
                 if len(known) > KNOWN_WORDS:
                     known, scores = {}, []
-                shares, switches = of_texts(model, [texts[i] for i in some[a:b]], known, scores)
+                shares, switches = of_texts(model, [pieces[i] for i in some[a:b]], known, scores)
                 for i, share, n in zip(some[a:b], shares, switches):
                     best = int(share.argmax())
                     out[i] = (model.langs[best], min(1.0, float(share[best])), len(texts[i]), share.tolist(), int(n))

@@ -265,6 +265,22 @@ def test_language_of_held_out_texts(spark, docs, none):
     assert language_id.predict(none, field).count() == 0
 
 
+def test_features_reach_over_whole_words():
+    one, other = b"abcdefghijklmnopqrst" + b"uvw" * 9 + b"xyz", b"abcdefghijklmnopqrst" + b"klm" * 9 + b"xyz"
+    features, counts = language_id.described([one, b"the", other])
+    first, short, last = np.split(features, np.cumsum(counts)[:-1])
+    assert counts.tolist() == [6 + 2 * (len(w) + 1) for w in (one, b"the", other)] and set(first) != set(last)
+    assert short.tolist() == language_id.described([b"the"])[0].tolist()
+
+
+def test_unspaced_scripts_weigh_by_their_length(spark):
+    zh, en = "今天天气很好我们一起去公园散步", "we took a long walk in the park"
+    field = language_id.fitted(["en", "zh"], [(k, language_id.pieces_of(language_id.words_of(t * 9))) for k, t in enumerate((en + " ", zh))], {}, 200, 3)
+    rows = spark.createDataFrame([(1, en + " " + zh * 40), (2, en + " " + zh[:4]), (3, zh[::-1] * 9)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.predict(rows, field).collect()}
+    assert [got[k].lang_pred for k in (1, 2, 3)] == ["zh", "en", "zh"] and got[1].score > 0.9 and got[1].n_words == 9
+
+
 # 5
 
 
