@@ -5,7 +5,7 @@ learned weights of transitions, and forward-backward gives each word's probabili
 around it. A text's language is the one with the largest sum over its words.
 
 The weights are fitted on the driver to a bounded sample of labelled texts (``sample_docs`` per language, ``segments`` windows in
-all); half of the windows join text of two languages, so that transitions are learned from switches too. The lexicon's words are
+all, more where there are more than 125 languages); half of the windows join text of two languages, so that transitions are learned from switches too. The lexicon's words are
 the frequent ones of the sample; their counts are taken over all labelled texts.
 """
 
@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motorlytics.llm.common import batch, slices, table
+from motorlytics.session import written
 
-MAX_LANGS = 32
 SAMPLE_DOCS = 300
 LEXICON_WORDS = 3000
 SEGMENTS = 8000
@@ -32,6 +32,10 @@ FEATURE_BITS = 15
 EPOCHS = 6
 KNOWN_WORDS = 300_000
 SCORE_BYTES = 1 << 15
+# Up to this many labels have the sample, lexicon and windows above; with more of them each has a smaller share, so that the
+# driver's work follows the labels, but never less than the least. Every label is learned.
+FULL_LABELS = 32
+LEAST_DOCS, LEAST_WORDS, LEAST_SEGMENTS = 30, 100, 64
 # Characters of scripts without spaces between words, and how many make a piece.
 IDEOGRAPHS = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 BRAHMIC = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u19e0-\u19ff\ua9e0-\ua9ff\uaa60-\uaa7f"
@@ -227,30 +231,35 @@ def _lexicon(train: DataFrame, langs: list[str], candidates: list[bytes]) -> dic
     return {w: (x - x.mean()).astype(np.float32) for w, x in logs.items()}
 
 
-def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon_words: int = LEXICON_WORDS, max_langs: int = MAX_LANGS,
+def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon_words: int = LEXICON_WORDS,
                 segments: int = SEGMENTS) -> Field | None:
-    """A field for the ``max_langs`` most frequent labels of ``docs`` (``lang``, ``text``); None if no text has a label."""
+    """A field for every label of ``docs`` (``lang``, ``text``); None if no text has a label.
+    """
     train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    sizes = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    langs = sorted(r["lang"] for r in sizes)
+    sizes = written(train.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "label-sizes")
+    langs = sorted(r["lang"] for r in sizes.select("lang").collect())
     if not langs:
         return None
-    share = F.lit(0.0)
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, 2.0 * sample_docs / row["count"]))).otherwise(share)
-    drawn = train.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(1 << 32)) < share * float(1 << 32)).dropDuplicates(["lang", "h"])
+    over = (FULL_LABELS / max(FULL_LABELS, len(langs)))
+    sample_docs = min(sample_docs, max(LEAST_DOCS, int(sample_docs * over)))
+    lexicon_words = min(lexicon_words, max(LEAST_WORDS, int(lexicon_words * over * over)))
+    segments = max(segments, LEAST_SEGMENTS * len(langs))
+    share = F.least(F.lit(1.0), F.lit(2.0 * sample_docs) / F.col("texts"))
+    hashed = train.withColumn("h", F.xxhash64("text")).join(F.broadcast(sizes), "lang")  # a row per label
+    drawn = hashed.where(F.pmod("h", F.lit(1 << 32)) <= share * float(1 << 32)).select("lang", "h", "text").dropDuplicates(["lang", "h"])
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     sample = drawn.withColumn("r", first).where(F.col("r") <= sample_docs).orderBy("lang", "h").collect()
-    samples = [(langs.index(r["lang"]), pieces_of(words_of(r["text"]))) for r in sample]
+    number = {x: i for i, x in enumerate(langs)}
+    samples = [(number[r["lang"]], pieces_of(words_of(r["text"]))) for r in sample]
+    found = [Counter() for _ in langs]
+    for label, words in samples:
+        found[label].update(words)
     candidates: dict[bytes, None] = {}
-    for label in range(len(langs)):
-        found = Counter(w for k, words in samples if k == label for w in words)
-        candidates.update(dict.fromkeys(w for w, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words]))
+    for each in found:
+        candidates.update(dict.fromkeys(w for w, _ in sorted(each.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words]))
     return fitted(langs, samples, _lexicon(train, langs, list(candidates)), segments)
 
 
-
-
 def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (the label's share of the words), ``n_words``, ``shares`` (by label) and ``n_switches``.
 

@@ -281,6 +281,17 @@ def test_unspaced_scripts_weigh_by_their_length(spark):
     assert [got[k].lang_pred for k in (1, 2, 3)] == ["zh", "en", "zh"] and got[1].score > 0.9 and got[1].n_words == 9
 
 
+def test_every_label_is_learned(spark):
+    rng = random.Random(6)
+    vocabulary = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(12)] for k in range(40)}
+    text = lambda lang: " ".join(rng.choice(vocabulary[lang]) for _ in range(40))
+    rows = [(lang, text(lang)) for k, lang in enumerate(vocabulary) for _ in range(12 - k // 5)]
+    field = language_id.train_field(spark.createDataFrame(rows, "lang string, text string"), segments=1500)
+    assert field.langs == sorted(vocabulary)
+    asked = spark.createDataFrame([(k, text(lang)) for k, lang in enumerate(field.langs)], "doc_id long, text string")
+    assert all(r.lang_pred == field.langs[r.doc_id] for r in language_id.predict(asked, field).collect())
+
+
 # 5
 
 
