@@ -234,9 +234,11 @@ def _lexicon(train: DataFrame, langs: list[str], candidates: list[bytes]) -> dic
 def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon_words: int = LEXICON_WORDS,
                 segments: int = SEGMENTS) -> Field | None:
     """A field for every label of ``docs`` (``lang``, ``text``); None if no text has a label.
+
+    The draw of a label follows the number of its distinct texts, so copies don't thin the sample.
     """
     train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    sizes = written(train.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "label-sizes")
+    sizes = written(train.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.05).alias("texts")), "label-sizes")
     langs = sorted(r["lang"] for r in sizes.select("lang").collect())
     if not langs:
         return None

@@ -292,6 +292,13 @@ def test_every_label_is_learned(spark):
     assert all(r.lang_pred == field.langs[r.doc_id] for r in language_id.predict(asked, field).collect())
 
 
+def test_copies_do_not_thin_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "fitted", lambda langs, samples, *more: samples)
+    rows = [("en", "the same text")] * 20_000 + [("en", f"text{'x' * k} of its own") for k in range(400)]
+    samples = language_id.train_field(spark.createDataFrame(rows, "lang string, text string"), sample_docs=50)
+    assert len(samples) == 50 and len({tuple(w) for _, w in samples}) == 50
+
+
 # 5
 
 
