@@ -358,8 +358,8 @@ def test_large_buckets_of_wide_fingerprints_lose_no_link(spark):
     prints = []
     for _ in range(12):
         base = rng.getrandbits(512) & ((1 << 496) - 1)
-        for _ in range(10):  # two bits of each block but the first, so that two such prints differ in most blocks
-            prints.append(base ^ sum(1 << 16 * k + rng.randrange(16) for k in range(31)))
+        for n in range(10):  # another bit of each block but the first, so that two such prints differ in all of these
+            prints.append(base ^ sum(1 << 16 * k + n for k in range(31)))
     nodes = spark.createDataFrame([(bytearray(p.to_bytes(64, "big")),) for p in prints], "fp binary")
     ids = simhash.node_ids([p.to_bytes(64, "big") for p in prints]).tolist()
     at = {x: k for k, x in enumerate(ids)}
