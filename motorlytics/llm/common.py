@@ -86,3 +86,10 @@ def let(value: Column, use) -> Column:
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a shared folder and the folder's path there; works on the driver and in tasks."""
     return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", uri))
+
+
+# Unsigned CRC-32 of an id's decimal digits in DuckDB, which has no such function.
+CRC32_SQL = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)),
+                           lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
