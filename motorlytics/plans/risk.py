@@ -27,6 +27,9 @@ TREES, DEPTH, LEARNING_RATE, SEED = 100, 5, 0.1, 42
 FEATURES = (*NUMERIC_FEATURES, "vehicle_class")
 _NUMBER = "vehicle_class_number"
 ROWS_PER_PARTITION = 100_000
+# The classes of the fleet in alphabetical order as a plain number, and one more for any other text.
+_CASES = " ".join(f"WHEN '{name}' THEN {code}.0D" for code, name in enumerate(sorted(CLASS_PROFILES)))
+CLASS_NUMBER = f"CASE vehicle_class {_CASES} ELSE {len(CLASS_PROFILES)}.0D END"
 
 
 def model_input(features: DataFrame) -> DataFrame:
@@ -35,10 +38,7 @@ def model_input(features: DataFrame) -> DataFrame:
 
 
 def risk_stages(trees: int = TREES) -> Pipeline:
-    # The classes of the fleet in alphabetical order as a plain number, and one more for any other text.
-    cases = " ".join(f"WHEN '{name}' THEN {code}.0D" for code, name in enumerate(sorted(CLASS_PROFILES)))
-    numbered = SQLTransformer(
-        statement=f"SELECT *, CASE vehicle_class {cases} ELSE {len(CLASS_PROFILES)}.0D END AS {_NUMBER} FROM __THIS__")
+    numbered = SQLTransformer(statement=f"SELECT *, {CLASS_NUMBER} AS {_NUMBER} FROM __THIS__")
     assembler = VectorAssembler(inputCols=[*NUMERIC_FEATURES, _NUMBER], outputCol="features")
     booster = GBTClassifier(labelCol="is_at_risk", featuresCol="features", weightCol="weight", maxIter=trees,
                             maxDepth=DEPTH, stepSize=LEARNING_RATE, seed=SEED)

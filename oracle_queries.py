@@ -149,6 +149,51 @@ _SPLIT = """split AS (SELECT *, rn <= ceil(n * CAST(0.2 AS DOUBLE)) AS is_test F
       row_number() OVER (PARTITION BY is_at_risk ORDER BY md5(concat('42-', vehicle_id)), vehicle_id) AS rn,
       count(*) OVER (PARTITION BY is_at_risk) AS n FROM features) r)"""
 
+# Boosted trees, fitted here as well: 100 trees of depth 5 over bins between quantiles of the training side.
+_BINNED = """known AS (SELECT *, [coalesce(maf_rpm_ratio, 0), coalesce(volt_volatility, 0), coalesce(max_coolant_temp_delta, 0),
+      CASE vehicle_class WHEN 'COMMERCIAL' THEN 0 WHEN 'PASSENGER' THEN 1 ELSE 2 END] AS x FROM split),
+  cuts AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS c FROM (SELECT DISTINCT f, v FROM (
+      SELECT f, x[f] AS v, row_number() OVER (PARTITION BY f ORDER BY x[f]) AS rn, count(*) OVER (PARTITION BY f) AS n
+      FROM known, range(1, 5) r(f) WHERE NOT is_test) s JOIN range(1, 32) q(k) ON rn = ceil(k * n / 32.0)) d),
+  weights AS (SELECT CASE WHEN sum(is_at_risk) > 0 THEN count(*) FILTER (is_at_risk = 0) / sum(is_at_risk) ELSE 1 END AS scale
+    FROM known WHERE NOT is_test),
+  binned AS (SELECT vehicle_id, is_at_risk AS y, is_test, CASE WHEN is_at_risk = 1 THEN (SELECT scale FROM weights) ELSE 1 END AS w,
+      list_transform(range(1, 5), lambda f: len(list_filter(lists[f], lambda v: v < x[f]))) AS b
+    FROM known, (SELECT list(l ORDER BY f) AS lists FROM (SELECT f, list(v) AS l FROM cuts GROUP BY f) e) a)"""
+
+
+def _boosted(trees: int = 100, depth: int = 5) -> str:
+    levels = []
+    for n in range(depth):
+        levels.append(f"""s{n} AS (SELECT node, f, c, gain FROM (
+        SELECT node, f, c, round(0.5 * (gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1)), 9) AS gain
+        FROM (SELECT node, f, c, sum(g) FILTER (b[f] <= c) AS gl, sum(h) FILTER (b[f] <= c) AS hl,
+                     sum(g) FILTER (b[f] > c) AS gr, sum(h) FILTER (b[f] > c) AS hr
+              FROM r{n}, cuts WHERE level = {n} AND NOT is_test GROUP BY node, f, c) t WHERE hl >= 1 AND hr >= 1) u
+      WHERE gain > 0.000001 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, c) = 1),
+    r{n + 1} AS (SELECT r.* REPLACE (CASE WHEN f IS NULL THEN r.node ELSE 2 * r.node + 1 + CAST(b[f] > c AS INTEGER) END AS node,
+        CASE WHEN f IS NULL THEN level ELSE level + 1 END AS level) FROM r{n} r LEFT JOIN s{n} USING (node))""")
+    splits = " UNION ALL ".join(f"SELECT node, f, gain FROM s{n}" for n in range(depth))
+    return f"""fit AS (SELECT 0 AS tree, vehicle_id, CAST(0 AS DOUBLE) AS margin, CAST([] AS STRUCT(node BIGINT, f BIGINT, gain DOUBLE)[]) AS splits
+      FROM binned
+    UNION ALL (WITH r0 AS (SELECT tree, vehicle_id, margin, is_test, b, 0 AS node, 0 AS level, w * (p - y) AS g, w * p * (1 - p) AS h
+        FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM fit JOIN binned USING (vehicle_id) WHERE tree < {trees}) p),
+    {", ".join(levels)},
+    leaves AS (SELECT node, -0.1 * sum(g) / (sum(h) + 1) AS step FROM r{depth} WHERE NOT is_test GROUP BY node),
+    picked AS (SELECT list({{'node': node, 'f': f, 'gain': gain}}) AS splits FROM ({splits}) s)
+    SELECT tree + 1, vehicle_id, margin + step, coalesce(picked.splits, []) FROM r{depth} JOIN leaves USING (node), picked))"""
+
+
+_FLEET = """predictions AS (SELECT s.*, p AS risk_probability, CAST(p > 0.5 AS INTEGER) AS risk_label FROM split s JOIN (
+      SELECT vehicle_id, 1 / (1 + exp(-margin)) AS p FROM fit WHERE tree = 100) f USING (vehicle_id))"""
+_GAINS = """tree_splits AS (SELECT tree - 1 AS tree, unnest(splits, recursive := true) FROM (
+      SELECT tree, any_value(splits) AS splits FROM fit WHERE tree > 0 GROUP BY tree) t)"""
+
+
+def _fitted(*parts: str) -> str:
+    return with_(*_FEATURES, _SPLIT, _BINNED, _boosted(), _FLEET, _GAINS, *parts).replace("WITH", "WITH RECURSIVE", 1)
+
+
 _LIMITS = {
     "rpm": ("0", "CASE vehicle_class WHEN 'COMMERCIAL' THEN 4000 ELSE 6500 END"),
     "speed": ("0", "CASE vehicle_class WHEN 'COMMERCIAL' THEN 100 ELSE 180 END"),
@@ -265,11 +310,26 @@ SQL: dict[str, str] = {
         dense_rank() OVER (ORDER BY vehicle_class) - 1 AS vehicle_class_code FROM features""",
     "encode_class_known": with_(*_FEATURES) + """SELECT vehicle_id, vehicle_class, CAST(CASE vehicle_class WHEN 'COMMERCIAL' THEN 0
         WHEN 'PASSENGER' THEN 1 ELSE 2 END AS BIGINT) AS vehicle_class_code FROM features""",
-    "stored_predictions": with_(*_FEATURES) + f"""SELECT vehicle_id, true AS in_range, true AS label_agrees, {CUTOFF} AS predicted_at
-        FROM features""",
-    "kpis_on_predictions": with_(*_FEATURES) + "SELECT count(*) AS vehicles, true AS count_agrees FROM features",
-    "worst_vehicles_on_predictions": with_(*_GOLD) + """SELECT vehicle_id, vehicle_model, vehicle_class, health_score, true AS has_risk
-        FROM breakdown ORDER BY health_score, vehicle_id LIMIT 20""",
+    "risk_predictions": _fitted() + f"""SELECT vehicle_id, round(risk_probability, 6) AS risk_probability, risk_label,
+        {CUTOFF} AS predicted_at FROM predictions""",
+    "risk_tree_gains": _fitted() + """SELECT tree, count(f) AS splits, round(coalesce(sum(gain), 0), 6) AS gain, max(last) AS last_node
+        FROM (SELECT tree, f, gain, 2 * node + 2 AS last FROM tree_splits UNION ALL SELECT r - 1, NULL, NULL, 0 FROM range(1, 101) t(r)) u
+        GROUP BY tree""",
+    "feature_importance": _fitted() + """SELECT feature, count(gain) AS splits, round(coalesce(sum(gain) / (SELECT sum(gain) FROM tree_splits), 0), 6) AS value
+        FROM (VALUES (1, 'maf_rpm_ratio'), (2, 'volt_volatility'), (3, 'max_coolant_temp_delta'), (4, 'vehicle_class')) n(f, feature)
+        LEFT JOIN tree_splits USING (f) GROUP BY feature""",
+    "model_quality": (_fitted().replace("predictions AS (", "everyone AS (", 1) [:-1]
+                      + ", predictions AS (SELECT * FROM everyone WHERE is_test)" + _REPORT),
+    "model_auc": _fitted() + """SELECT round(sum(CASE WHEN p.s > n.s THEN 1.0 WHEN p.s = n.s THEN 0.5 ELSE 0 END) / count(*), 6) AS auc_roc
+        FROM (SELECT round(risk_probability, 9) AS s FROM predictions WHERE is_test AND is_at_risk = 1) p,
+             (SELECT round(risk_probability, 9) AS s FROM predictions WHERE is_test AND is_at_risk = 0) n""",
+    "stored_predictions": _fitted() + f"""SELECT vehicle_id, round(risk_probability, 6) AS risk_probability, risk_label,
+        {CUTOFF} AS predicted_at, true AS in_range, true AS label_agrees FROM predictions""",
+    "kpis_on_predictions": _fitted() + """SELECT CASE risk_label WHEN 1 THEN 'At-Risk' ELSE 'Healthy' END AS label, count(*) AS vehicles
+        FROM predictions GROUP BY ALL UNION ALL SELECT 'count', count(*) FILTER (risk_label = 1) FROM predictions""",
+    "worst_vehicles_on_predictions": _fitted() + """SELECT vehicle_id, b.vehicle_model, b.vehicle_class, b.health_score,
+        round(p.risk_probability, 6) AS risk_probability
+        FROM breakdown b LEFT JOIN predictions p USING (vehicle_id) ORDER BY b.health_score, vehicle_id LIMIT 20""",
     "feature_importance_total": with_(*_FEATURES) + """SELECT CAST(4 AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total
         FROM features LIMIT 1""",
     "model_quality_supports": with_(*_FEATURES, _SPLIT) + """SELECT l AS label, count(*) FILTER (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlytics.operators import evaluation, health, incremental, quality, readings, windows
-from motorlytics.plans import kpis, layers, risk
+from motorlytics.plans import boosting, kpis, layers, risk
 from motorlytics.schemas import (
     BRONZE_COLUMNS, BRONZE_SCHEMA, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
 )
@@ -397,71 +397,82 @@ def auc_roc(spark, folder):
     return shown(evaluation.auc_roc(risk.threshold_predictions(_stored_features(spark, folder))), "auc_roc")
 
 
-_MODELS: dict = {}
+def _nodes(features: DataFrame) -> DataFrame:
+    """The trees fitted to the training side of stored features, stored themselves."""
+    return written(boosting.fit_trees(risk.train_and_test(features)[0]), "risk-nodes")
 
 
-def _model(spark: SparkSession, folder: str):
-    """The model trained on the training side of ``folder``, fitted once per session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _MODELS:
-        _MODELS[key] = risk.fit_risk_model(risk.train_and_test(_stored_features(spark, folder))[0])
-    return _MODELS[key]
+@query
+def risk_predictions(spark, folder):
+    features = _stored_features(spark, folder)
+    return shown(boosting.fleet_predictions(_nodes(features), features, CUTOFF))
 
 
 @query
-def risk_predictions(spark, folder):
-    return shown(risk.fleet_predictions(_model(spark, folder), _features(spark, folder)))
+def risk_tree_gains(spark, folder):
+    """Per tree its splits, what they gain, and how many vehicles end in its leaves."""
+    nodes = _nodes(_stored_features(spark, folder))
+    gains = nodes.groupBy("tree").agg(
+        F.count("feature").alias("splits"), F.round(F.sum("gain"), 6).alias("gain"), F.max(F.col("node")).alias("last_node"))
+    return gains.select(F.col("tree").cast("long").alias("tree"), "splits", "gain", F.col("last_node").cast("long").alias("last_node"))
 
 
 @query
 def feature_importance(spark, folder):
-    return risk.feature_importance(_model(spark, folder), _features(spark, folder))
+    return shown(boosting.importance_from_nodes(_nodes(_stored_features(spark, folder))).withColumnRenamed("importance", "value"))
 
 
 @query
 def model_quality(spark, folder):
-    """The report of the fitted model on vehicles it has not seen."""
-    _, test = risk.train_and_test(_stored_features(spark, folder))
-    return shown(evaluation.classification_report(risk.score_vehicles(_model(spark, folder), test)))
+    """The report of the fitted trees on vehicles they have not seen."""
+    features = _stored_features(spark, folder)
+    _, test = risk.train_and_test(features)
+    return shown(evaluation.classification_report(boosting.scored_by_nodes(_nodes(features), test)))
+
+
+@query
+def model_auc(spark, folder):
+    """The area under the curve of the fitted trees on vehicles they have not seen."""
+    features = _stored_features(spark, folder)
+    _, test = risk.train_and_test(features)
+    scored = boosting.scored_by_nodes(_nodes(features), test)
+    # scores are compared at the precision they are shown with
+    return shown(evaluation.auc_roc(written(scored.withColumn("risk_probability", F.round("risk_probability", 9)), "scored")), "auc_roc")
 
 
-def _predictions(spark: SparkSession, metrics: DataFrame, folder: str) -> DataFrame:
-    """The stored predictions of the fitted model for the whole fleet."""
+def _predictions(spark: SparkSession, metrics: DataFrame) -> DataFrame:
+    """The stored predictions of the fitted trees for the whole fleet."""
     features = written(health.vehicle_features(metrics), "features")
-    return risk.refresh_predictions(features, scratch_path(spark, "predictions"), CUTOFF, _model(spark, folder))
+    return boosting.refresh_predictions(features, scratch_path(spark, "predictions"), CUTOFF)
 
 
 @query
 def stored_predictions(spark, folder):
-    """What SQL can say of the model's table: its vehicles, probabilities within 0 and 1, labels that follow from them."""
-    rows = _predictions(spark, _stored_metrics(spark, folder), folder)
+    """The table of predictions, with probabilities within 0 and 1 and labels that follow from them."""
+    rows = _predictions(spark, _stored_metrics(spark, folder))
     return shown(rows.select(
-        "vehicle_id", F.col("risk_probability").between(0, 1).alias("in_range"),
-        ((F.col("risk_probability") > 0.5) == (F.col("risk_label") == 1)).alias("label_agrees"), "predicted_at"))
+        "*", F.col("risk_probability").between(0, 1).alias("in_range"),
+        ((F.col("risk_probability") > 0.5) == (F.col("risk_label") == 1)).alias("label_agrees")))
 
 
 @query
 def kpis_on_predictions(spark, folder):
-    """The at-risk count and the risk distribution over the model's table."""
-    rows = _predictions(spark, _stored_metrics(spark, folder), folder)
-    by_label = kpis.risk_distribution(rows).agg(
-        F.sum("vehicles").alias("vehicles"),
-        F.coalesce(F.sum(F.when(F.col("label") == "At-Risk", F.col("vehicles"))), F.lit(0)).alias("_at_risk"))
-    both = by_label.join(F.broadcast(kpis.at_risk_count(rows)))  # one row each
-    return both.select("vehicles", (F.col("_at_risk") == F.col("at_risk_vehicles")).alias("count_agrees"))
+    """The at-risk count and the risk distribution over the table of predictions."""
+    rows = _predictions(spark, _stored_metrics(spark, folder))
+    by_label = kpis.risk_distribution(rows).select("label", "vehicles")
+    return by_label.unionByName(kpis.at_risk_count(rows).select(F.lit("count").alias("label"), F.col("at_risk_vehicles").alias("vehicles")))
 
 
 @query
 def worst_vehicles_on_predictions(spark, folder):
     metrics = _stored_metrics(spark, folder)
-    worst = kpis.worst_vehicles(health.health_breakdown(metrics), _predictions(spark, metrics, folder))
-    return shown(worst.withColumn("has_risk", F.col("risk_probability").isNotNull()),
-                 "vehicle_id", "vehicle_model", "vehicle_class", "health_score", "has_risk")
+    worst = kpis.worst_vehicles(health.health_breakdown(metrics), _predictions(spark, metrics))
+    return shown(worst, "vehicle_id", "vehicle_model", "vehicle_class", "health_score", "risk_probability")
 
 
 @query
 def feature_importance_total(spark, folder):
-    rows = risk.feature_importance(_model(spark, folder), _features(spark, folder))
+    rows = boosting.importance_from_nodes(_nodes(_stored_features(spark, folder)))
     return rows.agg(F.count("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
 
 

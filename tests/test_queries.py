@@ -8,8 +8,6 @@ import __spark_entry__ as contract
 import oracle_queries
 import registered_queries
 
-SLOW = {"risk_predictions", "feature_importance", "model_quality"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -17,7 +15,7 @@ def con():
 
 
 def test_contract():
-    assert set(oracle_queries.SQL) == set(registered_queries.QUERIES) - SLOW
+    assert set(oracle_queries.SQL) == set(registered_queries.QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries()) and set(contract.queries()) >= set(registered_queries.QUERIES)
 
 
