@@ -44,15 +44,15 @@ _MEANS = {
     "avg_rolling_anomaly_count": "rolling_anomaly_count",
 }
 _LOWEST = ("vehicle_model", "vehicle_class", "min_battery_voltage")
-_HIGHEST = ("max_coolant_temp", "max_coolant_temp_delta", "total_sessions")
-_ADDED = ("total_anomaly_count", "total_readings", *[f"{m}_{part}" for m in _MEANS for part in ("sum", "count")])
+_HIGHEST = ("max_coolant_temp", "max_coolant_temp_delta")
+_ADDED = ("total_sessions", "total_anomaly_count", "total_readings", *[f"{m}_{part}" for m in _MEANS for part in ("sum", "count")])
 
 
 def vehicle_totals(silver: DataFrame, *by: str) -> DataFrame:
     """Metrics in a form that can be added up: sums and counts instead of means.
 
-    Sessions are counted by the highest number, which needs numbers that run on from 1 as in a full or
-    continuous refresh. ``by`` names further columns to keep totals apart by.
+    Sessions are counted by their starts, which needs silver as a full or continuous refresh gives it, where the first
+    reading of a vehicle alone starts without a gap. ``by`` names further columns to keep totals apart by.
     """
     sums = [F.sum(F.col(c).cast("double")).alias(f"{m}_sum") for m, c in _MEANS.items()]
     counts = [F.count(c).alias(f"{m}_count") for m, c in _MEANS.items()]
@@ -62,7 +62,7 @@ def vehicle_totals(silver: DataFrame, *by: str) -> DataFrame:
         F.min("battery_voltage").alias("min_battery_voltage"),
         F.max("coolant_temp").alias("max_coolant_temp"),
         F.max("coolant_temp_delta").alias("max_coolant_temp_delta"),
-        F.max("session_id").alias("total_sessions"),
+        F.sum("is_session_start").alias("total_sessions"),
         F.sum("anomaly_flag").alias("total_anomaly_count"),
         F.count(F.lit(1)).alias("total_readings"),
         *sums, *counts,
@@ -80,7 +80,7 @@ def merge_totals(totals: DataFrame, *by: str) -> DataFrame:
 
 def metrics_from_totals(totals: DataFrame) -> DataFrame:
     means = [F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_count")).alias(m) for m in _MEANS]
-    return totals.select("vehicle_id", *_LOWEST, *_HIGHEST, "total_anomaly_count", "total_readings", *means)
+    return totals.select("vehicle_id", *_LOWEST, *_HIGHEST, "total_sessions", "total_anomaly_count", "total_readings", *means)
 
 
 def health_breakdown(metrics: DataFrame) -> DataFrame:

@@ -145,6 +145,13 @@ def _split_features(rows: DataFrame, seeds: DataFrame | None, order: list[str],
     return _features(_with_seeds(stored, keys, run_seeds), keys, order, first_delta).drop(RUN)
 
 
+def large_vehicles(rows: DataFrame, rows_per_task: int | None) -> dict[str, int]:
+    """Vehicles with more rows than one task should have, with their number: at most all rows / ``rows_per_task`` of them."""
+    if rows_per_task is None:
+        return {}
+    return {r["vehicle_id"]: r["_rows"] for r in counted_above(rows, "vehicle_id", rows_per_task).collect()}
+
+
 def silver_telemetry(
     bronze: DataFrame,
     *,
@@ -153,13 +160,15 @@ def silver_telemetry(
     rows_per_task: int | None = ROWS_PER_TASK,
     rows_per_run: int | None = None,
     keep: tuple[str, ...] = (),
+    large: dict[str, int] | None = None,
 ) -> DataFrame:
     """Bronze rows with rolling means, anomaly context, temperature change and sessions.
 
     ``first_delta`` is the change of a vehicle's first reading: ``"null"``, or ``"zero_base"`` for the
     full reading. ``seeds`` (see ``latest_state``) continues from rows processed earlier. Vehicles with
     more than ``rows_per_task`` rows are computed in runs (of ``rows_per_run``, by default as many rows);
-    a narrow count finds them first, and ``rows_per_task=None`` skips it for input known to have none.
+    a narrow count finds them first, and ``rows_per_task=None`` skips it for input known to have none. A caller that has
+    counted gives them as ``large`` (see ``large_vehicles``), and nothing runs before the result is asked for.
     """
     if first_delta not in ("null", "zero_base"):
         raise ValueError("first_delta is 'null' or 'zero_base'")
@@ -173,18 +182,19 @@ def silver_telemetry(
             part = _with_seeds(part, ["vehicle_id"], its_seeds)
         return _features(part, ["vehicle_id"], order, first_delta)
 
-    large = [] if rows_per_task is None else counted_above(rows, "vehicle_id", rows_per_task).collect()
+    if large is None:
+        large = large_vehicles(rows, rows_per_task)
     if not large:
         return whole(rows, seeds).select(*output)
 
     # At most (all rows / rows_per_task) names, so they fit a broadcast.
-    names = F.broadcast(rows.sparkSession.createDataFrame([(r["vehicle_id"],) for r in large], "vehicle_id string"))
+    names = F.broadcast(rows.sparkSession.createDataFrame([(name,) for name in large], "vehicle_id string"))
 
     def part_of(df: DataFrame | None, how: str) -> DataFrame | None:
         return None if df is None else df.join(names, "vehicle_id", how)
 
     split = _split_features(part_of(rows, "left_semi"), part_of(seeds, "left_semi"), order, first_delta,
-                            sum(r["_rows"] for r in large), rows_per_run or rows_per_task)
+                            sum(large.values()), rows_per_run or rows_per_task or ROWS_PER_TASK)
     rest = whole(part_of(rows, "left_anti"), part_of(seeds, "left_anti"))
     return rest.select(*output).unionByName(split.select(*output))
 
