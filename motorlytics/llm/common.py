@@ -51,6 +51,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that is no column of ``docs``; Spark doesn't tell upper from lower case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).to_pylist()
 

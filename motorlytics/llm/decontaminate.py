@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import as_bytes, batch, slices, table
+from motorlytics.llm.common import as_bytes, batch, free_name, slices, table
 from motorlytics.session import written
 
 # 1: the word counts, 0: it doesn't. Wherever at most a fifth of 13 or more words differ, one of MASKS meets none of these (any
@@ -229,10 +229,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
     """The rows of ``docs`` that overlap with no test item; columns stay."""
+    ids, hashes, own = (free_name(docs, n) for n in ("leak_id", "leak_hash", "own_hash"))
     found = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **search).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    marked = docs.withColumn("__text", F.xxhash64(text_col))
-    return marked.join(found, marked[id_col].eqNullSafe(found["__id"]) & (marked["__text"] == found["__hash"]), "left_anti").select(*docs.columns)
+        F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes)).distinct()
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    return marked.join(found, marked[id_col].eqNullSafe(found[ids]) & (marked[own] == found[hashes]), "left_anti").select(*docs.columns)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,9 +31,9 @@ RULES = (
 )
 # Signs of a language without stop words above: letters that the four languages don't have, or its own frequent words.
 OTHER_LETTERS = r"[^\p{L}]|[\x00-\x7FäöüßàâæçéèêëîïôœùûÿñáíóúÄÖÜẞÀÂÆÇÉÈÊËÎÏÔŒÙÛŸÑÁÍÓÚºª]"
-OTHER_WORDS = ("ja ei hän että joka oli mutta kun niin see kui ta ning és egy hogy nem az yang dan dengan untuk dari ini itu tidak pada "
+OTHER_WORDS = ("ja ei hän että joka oli mutta kun niin kui ning és egy hogy nem az yang dan dengan untuk dari ini itu tidak pada "
                "na ya wa kwa ni katika za ang ng sa mga ay ve bir bu için ile się nie jest że och att det som av är og ikke er på "
-               "het een niet di che il non della sono não uma em da do și să este je su eta ez dhe një nuk kaj estas waa oo iyo "
+               "het een niet di che il non della sono não uma em da și să este je su eta ez dhe një nuk kaj estas waa oo iyo "
                "dat nie het vir yn yr ac ir kad tai ar ka").split()
 OTHER_LETTERS_EVERY, OTHER_WORDS_EVERY = 10, 20  # one such letter in so many words, or one such word
 SPACED_LETTERS = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"

@@ -12,12 +12,12 @@ from __future__ import annotations
 import functools
 import itertools
 import operator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import let, table
+from motorlytics.llm.common import free_name, let, table
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,13 @@ class Rule:
     least: int = 0
     fold: bool = False
 
+    linear: tuple = ()
+
+    @property
+    def linear_pattern(self) -> str:
+        """The pattern for an engine without atomic groups."""
+        return replace(self, parts=self.linear or self.parts).pattern
+
     @property
     def pattern(self) -> str:
         either = lambda x: "".join(f"[{c}{c.upper()}]" if self.fold and c.isalpha() else c for c in x)
@@ -42,8 +49,10 @@ class Rule:
 
 # What follows a key's header: all up to its END line (no other line of dashes lies between, so a scan ends at the next header);
 # where that is missing, PEM fields and all base64 from a first long run on.
-PEM_BODY = (r"""(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,6}END [A-Z ]*PRIVATE KEY-----|(?:[\x20\x09-\x0D]*[A-Z][A-Za-z0-9-]*:[^\x0A]*\x0A){0,5}"""
-            r"""[\\"'+>#*\x20\x09-\x0D]*[A-Za-z0-9+/]{16,}[A-Za-z0-9+/=\\"'>#*\x20\x09-\x0D]*)?""")
+_FIELD, _KEY = r"[\x20\x09-\x0D]*[A-Z][A-Za-z0-9-]*:[^\x0A]*\x0A", r"""[\\"'+>#*\x20\x09-\x0D]*[A-Za-z0-9+/]{16,}[A-Za-z0-9+/=\\"'>#*\x20\x09-\x0D]*"""
+PEM_BODY = rf"(?:(?>[\s\S]*?-----)-?END [A-Z ]*PRIVATE KEY-----|(?:{_FIELD})*+{_KEY})?"
+# The same for engines that match in linear time and know no atomic groups; Java would need stack for each of its repetitions.
+PEM_BODY_LINEAR = rf"(?:[^-]*(?:-{{1,4}}[^-]+)*-{{5,6}}END [A-Z ]*PRIVATE KEY-----|(?:{_FIELD})*{_KEY})?"
 
 # Assign, access and hex are the base rules; the others are well-known shapes of tokens and keys. A run that
 # must have so many characters is written with that count where this finds the same matches as a test afterwards.
@@ -52,7 +61,8 @@ RULES = (
                     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), group=2, least=12, fold=True),
     Rule("access", (("AKIA",), "[A-Z0-9]{14,}")),
     Rule("hex", ("[0-9a-f]{16,}",)),
-    Rule("pem", (("-----BEGIN ",), "[A-Z ]*", ("PRIVATE KEY-----",), PEM_BODY)),
+    Rule("pem", (("-----BEGIN ",), "[A-Z ]*", ("PRIVATE KEY-----",), PEM_BODY),
+         linear=(("-----BEGIN ",), "[A-Z ]*", ("PRIVATE KEY-----",), PEM_BODY_LINEAR)),
     Rule("github", (("ghp_", "gho_", "ghs_", "github_pat_"), "[A-Za-z0-9_]{20,}")),
     Rule("slack", (("xoxb-", "xoxp-", "xoxa-"), "[A-Za-z0-9-]{15,}")),
     Rule("stripe", (("sk_live_", "rk_live_"), "[A-Za-z0-9]{16,}")),
@@ -168,20 +178,23 @@ def matches(text: Column, rule: Rule, order: int) -> Column:
         F.array().cast(SPANS))
 
 
-def scanned(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``secrets``: spans ``struct(start, ord, kind, end)`` sorted by start, then rule.
+def scanned(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str = "text", output: str = "secrets") -> DataFrame:
+    """``docs`` with a column ``output``, which must be a new name: spans ``struct(start, ord, kind, end)`` sorted by start, then rule.
 
     Null and empty texts have none. Documents that share an id, null included, share candidates and are verified each by
     itself, so repeated rows stay and are right. Further columns stay; an empty table gives no rows.
     """
     rules = RULES if rules is None else rules
-    found = candidates(docs, rules, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds"))
+    if free_name(docs, output) != output:
+        raise ValueError(f"there is a column {output} already")
+    ids, kinds = free_name(docs, "found_id"), free_name(docs, "found_kinds")
+    found = candidates(docs, rules, id_col, text_col).select(F.col("doc_id").alias(ids), F.col("kinds").alias(kinds))
     text, nothing = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(SPANS)
     parts = [
-        F.when(F.array_contains("__kinds", rule.kind), matches(text, rule, i)).otherwise(nothing) if trigram_query(rule)
+        F.when(F.array_contains(kinds, rule.kind), matches(text, rule, i)).otherwise(nothing) if trigram_query(rule)
         else matches(text, rule, i) for i, rule in enumerate(rules)]
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["__id"]), "left")
-    return joined.withColumn("secrets", F.array_sort(F.concat(*parts))).drop("__id", "__kinds")
+    joined = docs.join(found, docs[id_col].eqNullSafe(found[ids]), "left")
+    return joined.withColumn(output, F.array_sort(F.concat(*parts))).drop(ids, kinds)
 
 
 def shown(secrets: Column) -> Column:
@@ -205,8 +218,9 @@ def redacted(text: Column, secrets: Column, mark: str = "[SECRET]") -> Column:
 
 def without_secrets(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with secrets replaced in the text column; all columns and rows stay."""
-    found = scanned(docs, rules, id_col, text_col)
-    return found.withColumn(text_col, redacted(F.col(text_col), F.col("secrets"))).select(*docs.columns)
+    spans = free_name(docs, "secrets")
+    found = scanned(docs, rules, id_col, text_col, spans)
+    return found.withColumn(text_col, redacted(F.col(text_col), F.col(spans))).select(*docs.columns)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,8 +236,8 @@ def _sql() -> str:
     """The same spans by gaps and matches of each rule, over whole texts and without an index."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     each = " UNION ALL ".join(
-        f"SELECT k, {i} AS ord, '{r.kind}' AS kind, {r.least} AS least, regexp_split_to_array(text, {quoted(r.pattern)}) AS gaps, "
-        f"regexp_extract_all(text, {quoted(r.pattern)}) AS whole, regexp_extract_all(text, {quoted(r.pattern)}, {r.group}) AS tested FROM d"
+        f"SELECT k, {i} AS ord, '{r.kind}' AS kind, {r.least} AS least, regexp_split_to_array(text, {quoted(r.linear_pattern)}) AS gaps, "
+        f"regexp_extract_all(text, {quoted(r.linear_pattern)}) AS whole, regexp_extract_all(text, {quoted(r.linear_pattern)}, {r.group}) AS tested FROM d"
         for i, r in enumerate(RULES))
     base = ", ".join(f"'{k}'" for k in BASE_KINDS)
     line = "kind || ':' || (e - size) || ':' || e"

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import as_bytes, batch, slices, table
+from motorlytics.llm.common import as_bytes, batch, free_name, slices, table
 from motorlytics.session import written
 
 FAN = 16
@@ -374,13 +374,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat that id within the class count as one. Columns stay.
     """
+    ids, hashes, own = (free_name(docs, n) for n in ("kept_id", "kept_hash", "own_hash"))
     rows = near_duplicates(docs, id_col=id_col, text_col=text_col, **search)
     kept = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("node").agg(
         F.min_by(F.struct("doc_id", "text_hash"), F.col("text_hash")).alias("k")).select(
-        F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
-    marked = docs.withColumn("__text", F.xxhash64(text_col))
-    joined = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (marked["__text"] == kept["__hash"]), "left_semi")
-    return joined.dropDuplicates([id_col, "__text"]).select(*docs.columns)
+        F.col("k.doc_id").alias(ids), F.col("k.text_hash").alias(hashes))
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    joined = marked.join(kept, marked[id_col].eqNullSafe(kept[ids]) & (marked[own] == kept[hashes]), "left_semi")
+    return joined.dropDuplicates([id_col, own]).select(*docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

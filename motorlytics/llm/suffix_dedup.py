@@ -236,7 +236,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT_SNIPPE
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_bytes`` is the size before the removal; ``text`` and ``n_chars`` are what is left. A character of which bytes are
+    removed shows as U+FFFD there."""
     rows = without_repeats(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

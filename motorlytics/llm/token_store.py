@@ -144,7 +144,8 @@ class Encoder(dict):
 
     def __init__(self, path: str, limit: int = KNOWN_WORDS):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # strings the library takes for one id wherever they stand; a word with one is never cut or folded
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.limit = limit
         self.reset()
 
@@ -168,9 +169,12 @@ class Encoder(dict):
         for word in self.fresh:
             first = word.rstrip(_TAIL)
             last = word[len(first) :]
-            if last and not first[-1:].isalnum():
+            whole = any(s in word for s in self.special)
+            if whole or last and not first[-1:].isalnum():
                 first, last = word, b""
-            for part, row in ((first.lower() if first.isascii() else first, core), (last, tail)):
+            # folding must not make a special string of what is none
+            folded = first.lower() if first.isascii() and not whole and b"<|" not in first else first
+            for part, row in ((folded, core), (last, tail)):
                 at = parts.get(part)
                 if at is None:
                     at = parts[part] = len(parts)

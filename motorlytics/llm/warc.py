@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import hashlib
 import json
 import urllib.parse
 import uuid
@@ -75,8 +76,12 @@ def parsed(member: bytes) -> dict:
     sizes = dict(line.lower().split(": ", 1) for line in http.decode().split("\r\n")[1:])
     number = lambda x: int(x[len("<urn:page:") : -1]) if x and x.startswith("<urn:page:") else None
     kind = fields["WARC-Type"]
+    # a response is measured by what was read; a revisit holds no payload, and says what its original's is
+    size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+    if kind == "revisit":
+        size, digest = int(sizes["content-length"]), base64.b32decode(fields["WARC-Payload-Digest"][5:]).hex()
     return {"page_id": number(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "record_type": kind,
-            "payload_bytes": int(sizes["content-length"]), "payload_digest": base64.b32decode(fields["WARC-Payload-Digest"][5:]).hex(),
+            "payload_bytes": size, "payload_digest": digest,
             "refers_to": number(fields.get("WARC-Refers-To")), "payload": payload if kind == "response" else None}
 
 
@@ -93,6 +98,7 @@ def with_originals(pages: DataFrame, least_bytes: int = LEAST_SHARED_BYTES) -> D
     rows = rows.withColumns({"digest": F.unhex(F.sha1("payload")), "size": F.octet_length("payload").cast("long")})
     shared = rows.where(F.col("size") >= least_bytes).groupBy("digest", "size").agg(
         F.max("page_id").alias("original"), F.max_by("url", "page_id").alias("original_url"), F.count("*").alias("n")).where("n > 1")
+    shared = written(shared, "warc-shared")  # then the join reads plain shuffles, of which a hot payload's part can be split
     later = (F.col("original").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("original"))
     return rows.join(shared, ["digest", "size"], "left").select(
         "page_id", "url", F.when(later, F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "digest", "size",

@@ -219,6 +219,8 @@ def test_nothing_of_a_private_key_is_left(spark):
         f"one {head}\r\n{fields}{body}\n{end} two {head}\n{body}\n{end}.": "one [SECRET] two [SECRET].",
         f'k = "{head}\\n{body.replace(chr(10), chr(92) + "n")}\\n{end}\\n"': 'k = "[SECRET]\\n"',
         f"one {head}\n{fields}{body}": "one [SECRET]",
+        f"one {head}\n" + "".join(f"Field-{k}: value\n" for k in range(3000)) + f"\n{body}": "one [SECRET]",
+        f"one {head}\n" + "a-b--c\n" * 3000 + f"{end} two": "one [SECRET] two",
         "".join(f"- {x}\n" for x in [head, *body.split("\n"), end]): "- [SECRET]\n",
         f"A key starts with {head} and then comes base64.": "A key starts with [SECRET] and then comes base64.",
         f"{head} " + "a-b " * 50_000: "[SECRET] " + "a-b " * 50_000,
@@ -230,6 +232,18 @@ def test_nothing_of_a_private_key_is_left(spark):
         assert got[k] == clean, (k, text[:80], got[k][:80])
 
 
+def test_columns_with_names_that_operators_use_stay(spark):
+    rows = [(1, "token=abcdefghijklmnop rest", 5, "a", "b", 7), (2, "token=abcdefghijklmnop rest", 6, "c", "d", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, secrets int, __text string, own_hash string, found_kinds int")
+    clean = secret_scan.without_secrets(df)
+    assert clean.schema == df.schema and sorted(clean.collect()) == [(i, "[SECRET] rest", *other) for i, _, *other in rows]
+    with pytest.raises(ValueError):
+        secret_scan.scanned(df)
+    assert [tuple(r) for r in simhash.one_of_each(df).collect()] == [rows[0]]
+    bench = spark.createDataFrame([(1, "nothing of these texts at all")], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.without_leaks(df, bench).collect()) == rows
+
+
 # 4
 
 
@@ -411,12 +425,17 @@ def test_warc_round_trip_and_lookup(spark, tmp_path):
     assert warc.lookup(warc.write_index(none, str(tmp_path)), str(tmp_path), df).count() == 0
 
 
+def test_digests_are_those_of_the_payload_read():
+    member = warc.record(7, "http://a.example/", b"<p>whole</p>", hashlib.sha1(b"<p>other</p>").digest(), 99, None, None)
+    row = warc.parsed(member)
+    assert (row["payload_bytes"], row["payload_digest"]) == (12, hashlib.sha1(b"<p>whole</p>").hexdigest())
+
+
 # 7
 
 
 def test_byte_bpe_equals_another_library(docs, none):
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    other.encode_special_tokens = True
     rows = byte_bpe.decode(byte_bpe.encode(docs, piece_chars=50)).collect()
     got = collections.Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in rows)
     assert got == collections.Counter((i, tuple(other.encode(t or "", add_special_tokens=False).ids), (t or "").encode()) for i, t in TEXTS)
@@ -437,9 +456,18 @@ def test_codes_give_every_token():
         assert np.concatenate([held.document(0), held.document(1)]).tolist() == ids.tolist()
 
 
+def test_special_strings_are_one_id_as_in_the_library(spark, tmp_path):
+    library = Tokenizer.from_file(token_store.VOCABULARY)
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y.", "<|startoftext|>,", "<|ENDOFTEXT|> <|EndOfText|>.", "<|endoftext|>" * 3, "<| endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = token_store.read_tokens(token_store.write_tokens(df, str(tmp_path)), str(tmp_path)).collect()
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows}
+    assert got == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert 49407 in got[0]
+
+
 def test_token_files_in_order(spark, docs, none, tmp_path):
     library = Tokenizer.from_file(token_store.VOCABULARY)
-    library.encode_special_tokens = True
     files = token_store.write_tokens(docs, str(tmp_path), file_tokens=500)
     rows = token_store.read_tokens(files, str(tmp_path)).orderBy("start").collect()
     assert [r.doc_id for r in rows] == sorted((i for i, _ in TEXTS), key=lambda i: (i is not None, i))
