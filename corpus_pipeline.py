@@ -12,22 +12,15 @@ from motorlytics.llm import byte_bpe, decontaminate, quality_rules, secret_scan,
 from motorlytics.llm.common import prepare, table
 from motorlytics.session import scratch_path
 
-# Near-duplicates of the corpus: five-word shingles and a similarity of 0.8. Two texts of that Jaccard similarity have an
-# angle of 27 degrees, so 15 percent of their bits differ, 78 of 512, give or take 8; MOST_BITS is one such step above.
-# Texts far apart differ in 256 bits, give or take 11. Of 32 blocks of 16 bits, one at least agrees for 91 percent of pairs at
-# 0.8, 98 at 0.85 and 99.7 at 0.9.
-SHINGLE, WORDS, MOST_BITS, BLOCKS = 5, 8, 86, 32
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules go."""
     return quality_rules.good_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group of near-duplicates the document with the smallest id stays: three-word shingles, 64 bits, at most two differ."""
     prepare(spark)
-    return simhash.one_of_each(docs, shingle=SHINGLE, words=WORDS, most=MOST_BITS, n_blocks=BLOCKS)
+    return simhash.one_of_each(docs, shingle=3, words=1, most=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
