@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from motorlytics.operators import evaluation, health, incremental, quality, readings, windows
 from motorlytics.plans import boosting, kpis, layers, risk
 from motorlytics.schemas import (
-    BRONZE_COLUMNS, BRONZE_SCHEMA, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
+    BRONZE_COLUMNS, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
 )
 from motorlytics.session import scratch_path, written
 from motorlytics.sources import derived, messages
 from motorlytics.sources.fleet import CLASS_PROFILES, MODEL_CLASSES
-from motorlytics.sources.tables import merge_by_key, read_telemetry
+from motorlytics.sources.tables import merge_by_key
 from motorlytics.streaming import ingest, live
+from motorlytics.streaming.bronze_table import BronzeTable, DayTable
 from motorlytics.streaming.refresh import SilverStore
 
 CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
@@ -262,6 +263,17 @@ def silver_upsert(spark, folder):
     return shown(merge_by_key(stored, fresh), "seq", "vehicle_id", "timestamp", "anomaly_reason", "session_id")
 
 
+@query
+def silver_upsert_days(spark, folder):
+    """The same into a stored table, where the days of the update are replaced at once."""
+    rows = written(_silver(spark, folder), "silver")
+    cutoff = kpis.as_of_column(CUTOFF)
+    table = DayTable(spark, scratch_path(spark, "silver-days"), rows.schema)
+    table.merge(rows.filter(F.col("timestamp") <= cutoff))
+    table.merge(rows.filter(F.col("timestamp") > cutoff - F.expr("INTERVAL 1 HOUR")).withColumn("anomaly_reason", F.lit("Reviewed")), 1)
+    return shown(table.read(), "seq", "vehicle_id", "timestamp", "anomaly_reason", "session_id")
+
+
 @query
 def trips(spark, folder):
     return shown(windows.sessions(_silver(spark, folder)))
@@ -511,11 +523,11 @@ def _drained(stream: DataFrame, root: str) -> DataFrame:
 
 @query
 def stream_bronze(spark, folder):
+    """Batches are merged in levels between further batches."""
     stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze", timed=False)
-    ingest.start_bronze(stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
-                        interval=None).awaitTermination()
-    return shown(read_telemetry(spark, f"{root}/bronze", BRONZE_SCHEMA, seq="long", batch_id="long"),
-                 "seq", *BRONZE_COLUMNS)
+    table = BronzeTable(spark, f"{root}/bronze", fan_in=2, seq="long")
+    ingest.start_bronze_table(stream, table, f"{root}/quarantine", f"{root}/checkpoint", interval=None).awaitTermination()
+    return shown(table.read(), "seq", *BRONZE_COLUMNS)
 
 
 @query
