@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import CRC32_SQL, as_bytes, batch, prepare, table
+from motorlytics.llm.common import CRC32_SQL, as_bytes, batch, many_partitions, prepare, table
 from motorlytics.session import written
 
 REPEATS, LEAST_WORDS = 4, 6
@@ -180,7 +180,8 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     every = written(tiled(texts, tile), "runs-tiles")
-    found = every.where("size > 0").repartition("row", "size", "first")  # tiles of a long document spread over tasks
+    # tiles of a long document spread over tasks, whose number is given since tiles are small for the work they make
+    found = every.where("size > 0").repartition(many_partitions(docs.sparkSession), "row", "size", "first")
     runs = stitched(fragments(found)).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     return every.where("size = 0").select("row", "doc_id", "n_words", "sha256", "words").join(runs, "row", "left").drop("row")
 
