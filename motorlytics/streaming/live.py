@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motorlytics.functions.times import micros_between
+from motorlytics.operators.windows import SESSION_GAP_MICROS
 from motorlytics.plans.kpis import LIVE_RATE_SPAN, SERIES_BUCKET
 
 # --- fixed values: the session gap (readings exactly this far apart stay together) ---
@@ -12,6 +14,7 @@ SESSION_GAP = "300 seconds"
 # --- end of fixed values ---
 
 LATENESS = "10 minutes"
+SLICE_SECONDS = 6 * 3600
 
 
 def live_anomaly_series(bronze: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -47,6 +50,30 @@ def trips(bronze: DataFrame, lateness: str = LATENESS) -> DataFrame:
     ).drop("session_window")
 
 
+def trips_in_slices(bronze: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """The same trips of a batch, in two steps: within slices of time, then across them.
+
+    The readings of a vehicle spread over its slices, so no task holds a long history. What meets per vehicle afterwards is a row
+    per slice and uninterrupted stretch. As a session, such a row lasts as long as it is, and then the gap. Readings without a
+    time are in no trip.
+    """
+    slice_number = F.floor(F.unix_micros("timestamp") / F.lit(slice_seconds * 1_000_000))
+    stretches = bronze.groupBy("vehicle_id", slice_number.alias("slice"), F.session_window("timestamp", SESSION_GAP)).agg(
+        F.min("timestamp").alias("started_at"),
+        F.max("timestamp").alias("ended_at"),
+        F.count(F.lit(1)).alias("readings"),
+        F.sum("anomaly_flag").alias("anomalies"),
+    ).drop("session_window", "slice")
+    length = F.concat((micros_between(F.col("ended_at"), F.col("started_at")) + SESSION_GAP_MICROS).cast("string"), F.lit(" microseconds"))
+    whole = stretches.groupBy("vehicle_id", F.session_window("started_at", length))
+    return whole.agg(
+        F.min("started_at").alias("started_at"),
+        F.max("ended_at").alias("ended_at"),
+        F.sum("readings").alias("readings"),
+        F.sum("anomalies").alias("anomalies"),
+    ).drop("session_window")
+
+
 def without_duplicates(bronze: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Each (vehicle, timestamp) once; state is forgotten after ``lateness``."""
     return bronze.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])

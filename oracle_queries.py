@@ -302,6 +302,12 @@ SQL: dict[str, str] = {
         UNION ALL SELECT * FROM fresh) u""",
     "trips": with_(*_SILVER) + _TRIPS,
     "trips_session_window": with_(*_SILVER) + f"SELECT * EXCLUDE (session_id) FROM ({_TRIPS}) t",
+    "trips_in_slices": with_(*_BRONZE, "hot AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'V-HOT' ELSE vehicle_id END AS vehicle_id) FROM bronze)",
+        silver("hot")) + f"SELECT * EXCLUDE (session_id) FROM ({_TRIPS}) t",
+    "fleet_by_sketches": with_(*_SILVER, "newest AS (SELECT CAST(max(timestamp) AS DATE) AS d FROM silver)") + """
+        SELECT 'all' AS span, count(DISTINCT vehicle_id) AS vehicles, count(*) AS readings, true AS sessions_within_error FROM silver
+        UNION ALL SELECT 'last two days', count(DISTINCT vehicle_id), count(*), NULL FROM silver, newest
+        WHERE CAST(timestamp AS DATE) BETWEEN d - 1 AND d""",
     "vehicle_metrics": with_(*_SILVER, METRICS) + f"SELECT {_METRIC_OUT}, round(avg_maf, 6) AS avg_maf FROM metrics",
     "health_breakdown": with_(*_GOLD) + f"SELECT vehicle_id, {rounded('anomaly_rate', *_PENALTIES)}, health_score FROM breakdown",
     "gold_vehicle_health": with_(*_GOLD) + f"SELECT {_METRIC_OUT}, round(anomaly_rate, 6) AS anomaly_rate, health_score FROM breakdown",

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.operators import evaluation, health, incremental, quality, readings, windows
+from motorlytics.operators import evaluation, health, incremental, quality, readings, sketches, windows
 from motorlytics.plans import boosting, kpis, layers, risk
 from motorlytics.schemas import (
     BRONZE_COLUMNS, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
@@ -19,6 +19,7 @@ from motorlytics.sources.fleet import CLASS_PROFILES, MODEL_CLASSES
 from motorlytics.sources.tables import merge_by_key
 from motorlytics.streaming import ingest, live
 from motorlytics.streaming.bronze_table import BronzeTable, DayTable
+from motorlytics.streaming.ordered import batches, late_drops, stage_in_order
 from motorlytics.streaming.refresh import SilverStore
 
 CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
@@ -26,6 +27,7 @@ CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
 FLEET_MODELS = (*MODEL_CLASSES, "Unlisted")
 READINGS_PER_BATCH = 4000
 RECORDS_PER_FILE, FILES_PER_BATCH = 20_000, 3
+TIMED_RECORDS_PER_FILE, TIMED_FILES_PER_BATCH = 1_000_000, 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -284,6 +286,30 @@ def trips_session_window(spark, folder):
     return shown(live.trips(_bronze(spark, folder)), *TRIPS_OUT)
 
 
+@query
+def trips_in_slices(spark, folder):
+    """A third of all readings are of one vehicle here, and slices spread them."""
+    rows = _bronze(spark, folder)
+    return shown(live.trips_in_slices(rows.withColumn("vehicle_id", F.when(F.col("seq") % 3 == 0, "V-HOT").otherwise(F.col("vehicle_id")))), *TRIPS_OUT)
+
+
+@query
+def fleet_by_sketches(spark, folder):
+    """Vehicles, sessions and readings of all days and of the last two, from sketches stored per day."""
+    stored = written(sketches.daily_sketches(_silver(spark, folder)), "sketches")
+    newest = stored.agg(F.max("event_date")).first()[0]
+    spans = [("all", sketches.distinct_between(stored))]
+    if newest is not None:
+        spans.append(("last two days", sketches.distinct_between(stored, newest - dt.timedelta(days=1), newest)))
+    rows = None
+    for name, row in spans:
+        one = row.select(F.lit(name).alias("span"), "*")
+        rows = one if rows is None else rows.unionByName(one)
+    exact = _silver(spark, folder).agg(F.count_distinct("vehicle_id", "session_id")).first()[0]
+    within = F.when(F.col("span") == "all", F.abs(F.col("sessions") - exact) <= sketches.RELATIVE_ERROR * exact)
+    return rows.select("span", "vehicles", "readings", within.alias("sessions_within_error"))
+
+
 # --- gold ---
 
 
@@ -503,21 +529,26 @@ def model_quality_supports(spark, folder):
 
 
 def _staged(spark: SparkSession, rows: DataFrame, label: str, timed: bool = True) -> tuple[DataFrame, str]:
-    """``rows`` as a file stream: batches of a bounded number of rows, but one batch where event time decides what is late,
-    because files come in no order of time. And a folder for its output and checkpoint."""
+    """``rows`` as a file stream in batches of a bounded number of rows, in order of time where event time decides what is
+    late. And a folder for its output and checkpoint."""
     root = scratch_path(spark, label)
-    rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{root}/input")
-    source = spark.readStream.schema(rows.schema)
-    if not timed:
-        source = source.option("maxFilesPerTrigger", str(FILES_PER_BATCH))
-    return source.parquet(f"{root}/input"), root
+    if timed:
+        at_most = min(TIMED_RECORDS_PER_FILE, max(1000, rows.count() // 8))  # several batches of small input too
+        stage_in_order(rows, f"{root}/input", rows_per_file=at_most)
+    else:
+        rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{root}/input")
+    files = TIMED_FILES_PER_BATCH if timed else FILES_PER_BATCH
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", str(files)).parquet(f"{root}/input"), root
 
 
 def _drained(stream: DataFrame, root: str) -> DataFrame:
     """Append ``stream`` to the exactly-once file sink until its input ends, then read the result."""
     spark = stream.sparkSession
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
-    writer.trigger(availableNow=True).start(f"{root}/output").awaitTermination()
+    query = writer.trigger(availableNow=True).start(f"{root}/output")
+    query.awaitTermination()
+    if late_drops(query):
+        raise RuntimeError(f"{late_drops(query)} rows of {batches(query)} batches came too late, though they were sent in order")
     return spark.read.schema(stream.schema).parquet(f"{root}/output")
 
 

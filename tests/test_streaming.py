@@ -1,5 +1,7 @@
 """Streams give what the batch form gives."""
 
+import os
+
 import pytest
 from conftest import SMALL, at
 from pyspark.sql import Window
@@ -10,6 +12,7 @@ from motorlytics.plans.layers import bronze_from_messages, bronze_from_readings
 from motorlytics.sources import derived
 from motorlytics.sources.messages import decode_messages, quarantined
 from motorlytics.streaming import ingest, live
+from motorlytics.streaming.ordered import batches, late_drops, stage_in_order
 from motorlytics.streaming.refresh import SilverStore
 
 
@@ -105,3 +108,27 @@ def test_silver(spark, stored, tmp_path):
     store = SilverStore(spark, f"{tmp_path}/silver")
     store.start(stream_of(spark, stored, "bronze"), f"{tmp_path}/c", None).awaitTermination()
     assert lines(store.read()) == lines(silver_telemetry(stored[0]["bronze"], keep=("seq",)))
+
+
+def test_files_in_order_of_time_lose_nothing_over_many_batches(bronze_rows, spark, tmp_path):
+    """Two days of readings in six files: in order none is late, in reverse order most are, and the count says how many."""
+    data = [("AB"[k % 2], 17.0 * k, dict(anomaly_flag=k % 3 == 0 and 1 or 0), k) for k in range(6000)]
+    rows = bronze_rows(data[::-1])
+    parts = stage_in_order(rows.repartition(5), f"{tmp_path}/in", rows_per_file=800)
+    assert parts >= 6
+    source = lambda: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{tmp_path}/in")
+
+    def run(name):
+        writer = live.live_anomaly_series(source()).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/{name}c")
+        query = writer.trigger(availableNow=True).start(f"{tmp_path}/{name}")
+        query.awaitTermination()
+        return query
+
+    query = run("forward")
+    assert batches(query) >= 3 and late_drops(query) == 0
+    expected = live.live_anomaly_series(rows).filter(closed_by(rows, F.col("time") + F.expr("INTERVAL 10 SECONDS")))
+    assert lines(spark.read.parquet(f"{tmp_path}/forward")) == lines(expected)
+    names = sorted(p for p in (tmp_path / "in").iterdir() if p.name.startswith("part-"))
+    for number, path in enumerate(reversed(names)):
+        os.utime(path, (1_000_000 + number, 1_000_000 + number))
+    assert late_drops(run("backward")) > 100
