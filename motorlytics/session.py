@@ -50,13 +50,23 @@ def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 128 * 1024**
     return max(at_least, -(-input_bytes // partition_bytes))
 
 
+def check_shared(folder: str, master: str) -> None:
+    """Raise where executors on several machines would each see a folder of their own."""
+    if folder.startswith(("file:", "/")) and not master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; {folder} is local to each machine")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared checkpoint directory for a table that cuts lineage.
 
-    The directory is the cluster's ``spark.checkpoint.dir``, or without one a folder in the warehouse, which all
-    executors share too. So what needs scratch never depends on the size of the data or on the machine.
+    The directory is the cluster's ``spark.checkpoint.dir``, or without one a folder in the warehouse. A cluster whose warehouse
+    is a local folder too has no place that all executors share, which is an error here rather than lost rows later.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        check_shared(warehouse, spark.sparkContext.master)
+        root = f"{warehouse.rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -285,6 +285,7 @@ SQL: dict[str, str] = {
         silver("slice"),
     ) + f"SELECT {_SILVER_OUT} FROM silver",
     "silver_incremental_continuous": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
+    "silver_late_arrivals": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
     "silver_stream": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
     "silver_upsert": with_(
         *_SILVER,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlytics.operators import evaluation, health, incremental, quality, readings, sketches, windows
@@ -242,16 +242,27 @@ def silver_incremental_slice(spark, folder):
 
 @query
 def silver_incremental_continuous(spark, folder):
-    """Three arrivals, the later ones with late readings, give the silver of one full refresh."""
-    rows = _bronze(spark, folder)
+    """Two arrivals, the second with late readings, give the silver of one full refresh."""
+    is_first = (F.col("timestamp") <= kpis.as_of_column(CUTOFF)) & (F.col("seq") % 500 != 7)
+    return _arrived(spark, folder, F.when(is_first, 0).otherwise(1), 2)
+
+
+@query
+def silver_late_arrivals(spark, folder):
+    """So do three, of which the third is all late and the second partly; sessions move twice."""
     is_old = F.col("timestamp") <= kpis.as_of_column(CUTOFF)
     turn = F.when(F.col("seq") % 500 == 7, 2).when(is_old & (F.col("seq") % 700 != 11), 0).otherwise(1)
-    arrivals = written(rows.withColumn("turn", turn), "arrivals")
+    return _arrived(spark, folder, turn, 3)
+
+
+def _arrived(spark: SparkSession, folder: str, turn: Column, turns: int) -> DataFrame:
+    arrivals = written(_bronze(spark, folder).withColumn("turn", turn), "arrivals")
     silver = written(windows.silver_telemetry(arrivals.filter("turn = 0"), keep=("seq",)), "silver")
-    for n in (1, 2):
+    for n in range(1, turns):
         refresh = incremental.continuous_refresh(arrivals.filter(F.col("turn") == n), silver)
         silver = incremental.refreshed(silver, refresh._replace(rows=written(refresh.rows, "refreshed")))
-        silver = written(silver, "silver")
+        if n + 1 < turns:
+            silver = written(silver, "silver")
     return shown(silver, *SILVER_OUT)
 
 

@@ -98,3 +98,13 @@ def test_merge_days_keeps_readings_without_time(spark, tmp_path, bronze_rows):
     stored = tables.read_telemetry(spark, path, BRONZE_SCHEMA)
     assert sorted((r["vehicle_id"], r["timestamp"] is None) for r in stored.collect()) == [
         ("A", False), ("A", True), ("B", False), ("B", True)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from motorlytics.session import check_shared
+
+    for folder, master in (("file:/x", "local[4]"), ("hdfs://h/x", "yarn"), ("s3a://b/x", "k8s://h"), ("/x", "local-cluster[2,1,1024]")):
+        check_shared(folder, master)
+    for folder, master in (("file:/x", "yarn"), ("/x", "spark://h:7077")):
+        with pytest.raises(ValueError):
+            check_shared(folder, master)
