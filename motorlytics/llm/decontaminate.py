@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import as_bytes, batch, free_name, slices, table
+from motorlytics.llm.common import as_bytes, batch, free_name, prepare, slices, table
 from motorlytics.session import written
 
 # 1: the word counts, 0: it doesn't. Wherever at most a fifth of 13 or more words differ, one of MASKS meets none of these (any
@@ -163,6 +163,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     Rows that repeat id and text are reported once. Null texts have no words; null ids are ids like any other. Items of
     fewer words than the shortest mask have no seed and are never reported. Empty tables give no rows.
     """
+    prepare(docs.sparkSession)
     spark = docs.sparkSession
     items, seed_rows = item_tables(benchmark, item_col, item_text_col, masks, short, least_words)
     shared = spark.sparkContext.broadcast(bitmap(seed_rows))

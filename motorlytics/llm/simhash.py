@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import as_bytes, batch, free_name, slices, table
+from motorlytics.llm.common import as_bytes, batch, free_name, prepare, slices, table
 from motorlytics.session import written
 
 FAN = 16
@@ -343,6 +343,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, words: int = 1, most: int
     with fewer, a link is found if some block agrees wholly. Null, empty and repeated texts are linked like any
     other; an empty table gives no rows.
     """
+    prepare(docs.sparkSession)
     width, n_blocks = 64 * words, n_blocks or most + 1
     prints = written(fingerprints(docs, shingle, words, id_col, text_col), "fingerprints")
     one = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))

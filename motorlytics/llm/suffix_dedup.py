@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlytics.llm.common import as_bytes, batch, slices, table
+from motorlytics.llm.common import as_bytes, batch, prepare, slices, table
 from motorlytics.llm.suffix_array import common_prefixes, suffix_array
 from motorlytics.session import written
 
@@ -169,6 +169,7 @@ def by_hash(found: DataFrame, length: int) -> DataFrame:
 
 def repeated_strings(docs: DataFrame, length: int = LENGTH, hot: int = HOT_SNIPPETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_hash`` and ``spans`` (start, end in bytes; may overlap) of repeated strings; texts without are absent."""
+    prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     every = written(snippets(texts, length), "suffix-anchors")
