@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def stage_in_order(rows: DataFrame, folder: str, time_column: str = "timestamp", rows_per_file: int = 1_000_000) -> int:
+def stage_in_order(rows: DataFrame, folder: str, time_column: str = "timestamp", rows_per_file: int = 1_000_000,
+                   partitions: int | None = None) -> int:
     """Write ``rows`` to a new folder, cut into files by ranges of time, and date the files so that a file source admits them
     in that order; the number of files.
 
     A file source takes files by the time they were changed. Ranges are written by as many tasks as there are, which end in any
     order, and are numbered in theirs; so each file gets the time of its number. This needs a store that lets files be dated
-    (HDFS and local ones do). Rows without a time come first.
+    (HDFS and local ones do). Rows without a time come first. There are ``partitions`` ranges, or as many as Spark chooses.
     """
     spark = rows.sparkSession
-    ranged = rows.repartitionByRange(time_column).sortWithinPartitions(time_column)
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), time_column).sortWithinPartitions(time_column)
     ranged.write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -27,7 +27,7 @@ CUTOFF = dt.datetime(2024, 1, 1, 3, 36)
 FLEET_MODELS = (*MODEL_CLASSES, "Unlisted")
 READINGS_PER_BATCH = 4000
 RECORDS_PER_FILE, FILES_PER_BATCH = 20_000, 3
-TIMED_RECORDS_PER_FILE, TIMED_FILES_PER_BATCH = 1_000_000, 2
+TIMED_RECORDS_PER_FILE, TIMED_PARTITIONS, TIMED_FILES_PER_BATCH = 100_000, 8, 2  # four batches of small input too
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -544,8 +544,7 @@ def _staged(spark: SparkSession, rows: DataFrame, label: str, timed: bool = True
     late. And a folder for its output and checkpoint."""
     root = scratch_path(spark, label)
     if timed:
-        at_most = min(TIMED_RECORDS_PER_FILE, max(1000, rows.count() // 8))  # several batches of small input too
-        stage_in_order(rows, f"{root}/input", rows_per_file=at_most)
+        stage_in_order(rows, f"{root}/input", rows_per_file=TIMED_RECORDS_PER_FILE, partitions=TIMED_PARTITIONS)
     else:
         rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(f"{root}/input")
     files = TIMED_FILES_PER_BATCH if timed else FILES_PER_BATCH
