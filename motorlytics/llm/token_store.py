@@ -13,6 +13,7 @@ per level chunks (uint8), bits (uint8, lowest bit first) and ranks (uint32).
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 from collections.abc import Iterator
@@ -146,6 +147,7 @@ class Encoder(dict):
         self.library = Tokenizer.from_file(path)
         # strings the library takes for one id wherever they stand; a word with one is never cut or folded
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.mark = os.path.commonprefix(self.special)
         self.limit = limit
         self.reset()
 
@@ -169,7 +171,7 @@ class Encoder(dict):
         for word in self.fresh:
             first = word.rstrip(_TAIL)
             last = word[len(first) :]
-            whole = any(s in word for s in self.special)
+            whole = self.mark in word and any(s in word for s in self.special)
             if whole or last and not first[-1:].isalnum():
                 first, last = word, b""
             # folding must not make a special string of what is none
