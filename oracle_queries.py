@@ -386,6 +386,7 @@ SQL: dict[str, str] = {
     "avg_health_by_model": with_(*_GOLD) + """SELECT vehicle_model, round(avg(health_score), 6) AS avg_health
         FROM breakdown GROUP BY ALL""",
     "stream_bronze": with_(*_DECODED, flagged("typed")) + f"SELECT seq, {_STORED} FROM bronze",
+    "stream_bronze_table": with_(*_DECODED, flagged("typed")) + f"SELECT seq, {_STORED} FROM bronze",
     "stream_quarantine": with_(*_DECODED) + """SELECT seq, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
     "stream_anomaly_series": with_(*_BRONZE) + f"""SELECT * FROM (
         SELECT {_BUCKET} AS time, CAST(sum(anomaly_flag) AS BIGINT) AS anomalies FROM bronze GROUP BY 1) w

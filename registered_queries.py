@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from motorlytics.operators import evaluation, health, incremental, quality, readings, sketches, windows
 from motorlytics.plans import boosting, kpis, layers, risk
 from motorlytics.schemas import (
-    BRONZE_COLUMNS, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
+    BRONZE_COLUMNS, BRONZE_SCHEMA, GPS_FIELDS, IDENTITY_FIELDS, OBD_FIELDS, READING_FIELDS, SILVER_COLUMNS,
 )
 from motorlytics.session import scratch_path, written
 from motorlytics.sources import derived, messages
 from motorlytics.sources.fleet import CLASS_PROFILES, MODEL_CLASSES
-from motorlytics.sources.tables import merge_by_key
+from motorlytics.sources.tables import merge_by_key, read_telemetry
 from motorlytics.streaming import ingest, live
 from motorlytics.streaming.bronze_table import BronzeTable, DayTable
 from motorlytics.streaming.ordered import batches, late_drops, stage_in_order
@@ -564,7 +564,16 @@ def _drained(stream: DataFrame, root: str) -> DataFrame:
 
 @query
 def stream_bronze(spark, folder):
-    """Batches are merged in levels between further batches."""
+    stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze", timed=False)
+    ingest.start_bronze(stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
+                        interval=None).awaitTermination()
+    return shown(read_telemetry(spark, f"{root}/bronze", BRONZE_SCHEMA, seq="long", batch_id="long"),
+                 "seq", *BRONZE_COLUMNS)
+
+
+@query
+def stream_bronze_table(spark, folder):
+    """The same into a table whose batches are merged in levels between further batches."""
     stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze", timed=False)
     table = BronzeTable(spark, f"{root}/bronze", fan_in=2, seq="long")
     ingest.start_bronze_table(stream, table, f"{root}/quarantine", f"{root}/checkpoint", interval=None).awaitTermination()
