@@ -569,7 +569,8 @@ def test_every_overlap_within_the_tolerance_is_found(spark):
             inside = [k for k in range(len(item)) if 0 <= k + d < len(doc)]
             for a in inside:
                 for b in range(a + least, inside[-1] + 2):
-                    if 5 * (b - a - sum(same[a:b])) <= b - a:
+                    whole = len(item) < 13 or same[a] and same[b - 1]  # longer ones start and end in equal words
+                    if whole and 5 * (b - a - sum(same[a:b])) <= b - a:
                         return True
         return False
 
@@ -579,3 +580,30 @@ def test_every_overlap_within_the_tolerance_is_found(spark):
     expected = {(k, k // 42) for k, w in enumerate(texts) if leaked(w, items[k // 42])}
     assert {(r.doc_id, r.item_id) for r in rows} == expected and 100 < len(expected) < len(texts)
     assert all(5 * (r.overlap_words - r.matches) <= r.overlap_words for r in rows)
+
+
+def test_a_phrase_of_many_items_gives_a_row_per_document(spark):
+    """Every document has every item's opening; groups of a few hits and places give the same rows."""
+    opening = [f"open{k}" for k in range(16)]
+    df = spark.createDataFrame([(d, " ".join(opening + [f"doc{d}x{k}" for k in range(30)])) for d in range(300)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(opening + [f"item{i}x{k}" for k in range(9)])) for i in range(200)], "item_id long, text string")
+    found = decontaminate.leaks(df, bench).collect()
+    assert sorted(tuple(r)[:1] + tuple(r)[2:] for r in found) == [(d, 0, 25, 16, 16, 0, 15, 0, 200) for d in range(300)]
+    parts = decontaminate.leaks(df, bench, hits_per_group=50, places_per_group=20).collect()
+    assert sorted(map(tuple, parts)) == sorted(map(tuple, found))
+
+
+def test_foreign_words_at_the_ends_are_no_overlap(spark):
+    item = [f"w{k}" for k in range(24)]
+    near = lambda n: " ".join(["a", "b", "c"] + item[:n] + [f"other{k}" for k in range(20)])
+    df = spark.createDataFrame([(n, near(n)) for n in range(4, 24)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {(r.doc_id, r.overlap_words) for r in decontaminate.leaks(df, bench).collect()} == {(n, n) for n in range(13, 24)}
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        same = rng.random(65) < rng.choice([0.5, 0.75, 0.85])
+        same[:26] &= rng.random() < 0.5
+        some = any(same[a] and same[b - 1] and 5 * (~same[a:b]).sum() <= b - a for a in range(53) for b in range(a + 13, 66))
+        assert decontaminate.overlapping(same[None], 13)[0] == some
+        matches, first, end = decontaminate.tolerant(same.astype(int), np.ones(65, int), 0)
+        assert (end - first >= 13) == some and matches == same[first:end].sum()
