@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlytics.llm.common import free_name, let, table
+from motorlytics.session import written
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,8 @@ BASE_KINDS = ("assign", "access", "hex")
 
 SPANS = "array<struct<start:int,ord:int,kind:string,end:int>>"
 RUN = 512
+# Bits of the sieve of candidates: with n of them, n / 2**FILTER_BITS of the other documents pass too.
+FILTER_BITS = 24
 
 
 def literals(text: str) -> list[str]:
@@ -183,18 +186,31 @@ def scanned(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str =
 
     Null and empty texts have none. Documents that share an id, null included, share candidates and are verified each by
     itself, so repeated rows stay and are right. Further columns stay; an empty table gives no rows.
+
+    Candidates are stored first. A sieve of their ids, of fixed size, lets all other documents be finished where they are read:
+    they are scanned by the rules without mandatory trigrams, and only texts that pass it are shuffled. ``docs`` is read three times.
     """
     rules = RULES if rules is None else rules
     if free_name(docs, output) != output:
         raise ValueError(f"there is a column {output} already")
-    ids, kinds = free_name(docs, "found_id"), free_name(docs, "found_kinds")
-    found = candidates(docs, rules, id_col, text_col).select(F.col("doc_id").alias(ids), F.col("kinds").alias(kinds))
+    ids, kinds, at, bits = (free_name(docs, n) for n in ("found_id", "found_kinds", "found_at", "found_bits"))
+    found = written(candidates(docs, rules, id_col, text_col).select(F.col("doc_id").alias(ids), F.col("kinds").alias(kinds)), "secret-candidates")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+    bit = lambda c: F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{c}`), 32) AS int))")
+    # At most 2**(FILTER_BITS - 5) rows of two numbers, whatever the number of candidates.
+    sieve = found.groupBy(F.shiftright(slot(F.col(ids)), 5).alias(at)).agg(F.bit_or(bit(ids)).alias(bits))
+    sifted = docs.join(F.broadcast(sieve), F.shiftright(slot(docs[id_col]), 5) == F.col(at), "left")
+    passed = F.coalesce(F.col(bits).bitwiseAND(bit(id_col)) != 0, F.lit(False))
     text, nothing = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(SPANS)
-    parts = [
-        F.when(F.array_contains(kinds, rule.kind), matches(text, rule, i)).otherwise(nothing) if trigram_query(rule)
-        else matches(text, rule, i) for i, rule in enumerate(rules)]
-    joined = docs.join(found, docs[id_col].eqNullSafe(found[ids]), "left")
-    return joined.withColumn(output, F.array_sort(F.concat(*parts))).drop(ids, kinds)
+
+    def with_spans(rows: DataFrame, indexed) -> DataFrame:
+        parts = [indexed(rule, i) if trigram_query(rule) else matches(text, rule, i) for i, rule in enumerate(rules)]
+        return rows.select(*docs.columns, F.array_sort(F.concat(*parts)).alias(output))
+
+    rest = with_spans(sifted.where(~passed), lambda rule, i: nothing)
+    near = sifted.where(passed).join(found, F.col(id_col).eqNullSafe(F.col(ids)), "left")
+    return rest.unionByName(with_spans(
+        near, lambda rule, i: F.when(F.array_contains(kinds, rule.kind), matches(text, rule, i)).otherwise(nothing)))
 
 
 def shown(secrets: Column) -> Column:

@@ -607,3 +607,14 @@ def test_foreign_words_at_the_ends_are_no_overlap(spark):
         assert decontaminate.overlapping(same[None], 13)[0] == some
         matches, first, end = decontaminate.tolerant(same.astype(int), np.ones(65, int), 0)
         assert (end - first >= 13) == some and matches == same[first:end].sum()
+
+
+def test_secret_scan_shuffles_candidates_only(spark):
+    rows = [(k % 700, f"line {k} password_hint " + ("token = abcdefghijkl0123" if k % 50 == 0 else "deadbeefdeadbeef00" if k % 50 == 1 else "words")) for k in range(1400)]
+    df = spark.createDataFrame(rows + [(None, "secret: abcdefghijkl0123"), (None, None)], "doc_id long, text string")
+    out = secret_scan.scanned(df)
+    got = sorted((str(r.doc_id), r.text or "", [s.kind for s in r.secrets]) for r in out.collect())
+    kind = lambda t: ["assign"] if "ghijkl" in (t or "") else ["hex"] if "beef" in (t or "") else []
+    assert got == sorted((str(i), t or "", kind(t)) for i, t in [*rows, (None, "secret: abcdefghijkl0123"), (None, None)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 1 and "xxhash64" in plan.split("Union")[1]  # both halves are sifted before anything else
