@@ -152,6 +152,12 @@ def large_vehicles(rows: DataFrame, rows_per_task: int | None) -> dict[str, int]
     return {r["vehicle_id"]: r["_rows"] for r in counted_above(rows, "vehicle_id", rows_per_task).collect()}
 
 
+def large_by_counts(counts: DataFrame, rows_per_task: int) -> dict[str, int]:
+    """The same from stored counts (``vehicle_id``, ``readings``, a vehicle in any number of rows)."""
+    sums = counts.groupBy("vehicle_id").agg(F.sum("readings").alias("readings")).filter(F.col("readings") > rows_per_task)
+    return {r["vehicle_id"]: r["readings"] for r in sums.collect()}
+
+
 def silver_telemetry(
     bronze: DataFrame,
     *,
@@ -168,7 +174,7 @@ def silver_telemetry(
     full reading. ``seeds`` (see ``latest_state``) continues from rows processed earlier. Vehicles with
     more than ``rows_per_task`` rows are computed in runs (of ``rows_per_run``, by default as many rows);
     a narrow count finds them first, and ``rows_per_task=None`` skips it for input known to have none. A caller that has
-    counted gives them as ``large`` (see ``large_vehicles``), and nothing runs before the result is asked for.
+    counted gives them as ``large`` (see ``large_vehicles``, or ``BronzeTable.large_vehicles`` for counts kept with the rows), and nothing runs before the result is asked for.
     """
     if first_delta not in ("null", "zero_base"):
         raise ValueError("first_delta is 'null' or 'zero_base'")

@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from motorlytics.operators.windows import ROWS_PER_TASK, large_by_counts
 from motorlytics.schemas import BRONZE_SCHEMA
 from motorlytics.sources.manifest import Entry, Manifest
 from motorlytics.sources.tables import EVENT_DATE, laid_out, merge_by_key, with_event_date
 
 FAN_IN = 8
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+COUNTS_SCHEMA = T.StructType().add(EVENT_DATE, "date").add("vehicle_id", "string").add("readings", "long")
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(EVENT_DATE, "vehicle_id").agg(F.sum("readings").alias("readings"))
 
 
 class BronzeTable:
@@ -22,10 +28,15 @@ class BronzeTable:
     When ``fan_in`` folders of a level have gathered, they become one of the next level: few files, cut by ranges of day,
     vehicle and time, so that a vehicle's hour lies in few of them. A row is rewritten once per level, and a table of n
     batches has about ``fan_in`` * log(n) live folders. The newest batch is never merged, since it may come again.
+
+    With ``counted``, readings per day and vehicle are kept beside the rows, in batches and levels of their own, so that vehicles
+    with very many are known without a count over all rows. A batch counts what it has just written, one column of it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA, fan_in: int = FAN_IN, **extra: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA, fan_in: int = FAN_IN, *,
+                 counted: bool = False, **extra: str):
         self.manifest, self.fan_in = Manifest(spark, path), fan_in
+        self.counts = Manifest(spark, f"{path.rstrip('/')}/counts") if counted else None
         self.schema = T.StructType(list(schema.fields))
         for name, kind in {**extra, EVENT_DATE: "date"}.items():
             self.schema = self.schema.add(name, kind)
@@ -36,13 +47,33 @@ class BronzeTable:
     def add(self, rows: DataFrame, batch_id: int) -> None:
         """Rows of a batch. Merged folders name their last batch, so only the batch's own folder has its number."""
         folder = self.manifest.write(laid_out(rows), f"batch-{batch_id}", EVENT_DATE)
-        self.manifest.commit(lambda entries: [e for e in entries if e.batch != batch_id] + [Entry(folder, batch_id)])
+        if self.counts:  # before the rows are listed: a job that fails in between leaves counts that are too high, until it is repeated
+            found = self.manifest.read(self.schema, [Entry(folder, batch_id)])
+            self._list(self.counts, self.counts.write(_summed(found.withColumn("readings", F.lit(1))), f"batch-{batch_id}"), batch_id)
+        self._list(self.manifest, folder, batch_id)
+
+    @staticmethod
+    def _list(manifest: Manifest, folder: str, batch_id: int) -> None:
+        manifest.commit(lambda entries: [e for e in entries if e.batch != batch_id] + [Entry(folder, batch_id)])
+
+    def daily_counts(self) -> DataFrame:
+        """``event_date, vehicle_id, readings``, at most a row per live folder of counts, day and vehicle."""
+        return self.counts.read(COUNTS_SCHEMA)
+
+    def large_vehicles(self, rows_per_task: int = ROWS_PER_TASK) -> dict[str, int]:
+        """``large`` for ``silver_telemetry`` from the counts alone."""
+        return large_by_counts(self.daily_counts(), rows_per_task)
 
     def compact(self) -> int:
-        """Merge levels that are full, lowest first; the number of folders merged."""
+        """Merge levels that are full, lowest first; the number of folders of rows merged."""
+        if self.counts:
+            self._compact(self.counts, self._merge_counts)
+        return self._compact(self.manifest, self._merge)
+
+    def _compact(self, manifest: Manifest, merge) -> int:
         merged = 0
         while True:
-            entries = self.manifest.entries()
+            entries = manifest.entries()
             newest = max((e.batch for e in entries), default=-1)
             ready: dict[int, list[Entry]] = {}
             for e in sorted(entries, key=lambda e: e.batch):
@@ -51,16 +82,23 @@ class BronzeTable:
             full = [level for level, found in sorted(ready.items()) if len(found) >= self.fan_in]
             if not full:
                 return merged
-            self._merge(ready[full[0]], full[0] + 1)
+            merge(ready[full[0]], full[0] + 1)
             merged += len(ready[full[0]])
 
     def _merge(self, entries: list[Entry], level: int) -> None:
         rows = self.manifest.read(self.schema, entries)
         order = [EVENT_DATE, "vehicle_id", "timestamp"]
         folder = self.manifest.write(rows.repartitionByRange(*order).sortWithinPartitions(*order), f"level-{level}", EVENT_DATE)
-        whole = Entry(folder, max(e.batch for e in entries), level)
-        gone = {e.folder for e in entries}
-        self.manifest.commit(lambda now: [e for e in now if e.folder not in gone] + [whole])
+        self._replace(self.manifest, entries, folder, level)
+
+    def _merge_counts(self, entries: list[Entry], level: int) -> None:
+        folder = self.counts.write(_summed(self.counts.read(COUNTS_SCHEMA, entries)), f"level-{level}")
+        self._replace(self.counts, entries, folder, level)
+
+    @staticmethod
+    def _replace(manifest: Manifest, entries: list[Entry], folder: str, level: int) -> None:
+        whole, gone = Entry(folder, max(e.batch for e in entries), level), {e.folder for e in entries}
+        manifest.commit(lambda now: [e for e in now if e.folder not in gone] + [whole])
 
 
 class DayTable:

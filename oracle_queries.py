@@ -279,6 +279,7 @@ SQL: dict[str, str] = {
     "sessionize": with_(*_SILVER) + "SELECT seq, vehicle_id, timestamp, is_session_start, session_id FROM silver",
     "silver_telemetry": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
     "silver_telemetry_in_runs": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
+    "silver_counted": with_(*_SILVER) + f"SELECT {_SILVER_OUT} FROM silver",
     "silver_incremental_slice": with_(
         *_BRONZE,
         f"slice AS (SELECT * FROM bronze WHERE timestamp > (SELECT max(timestamp) FROM bronze WHERE timestamp <= {CUTOFF}))",

@@ -233,6 +233,19 @@ def silver_telemetry_in_runs(spark, folder):
     return shown(split, *SILVER_OUT)
 
 
+@query
+def silver_counted(spark, folder):
+    """The same from a table of three batches, which has counted its readings per vehicle and day."""
+    rows = _bronze(spark, folder)
+    table = BronzeTable(spark, scratch_path(spark, "counted-bronze"), fan_in=2, counted=True, seq="long")
+    for n in range(3):
+        table.add(rows.filter(F.pmod("seq", F.lit(3)) == n), n)
+    table.compact()
+    large = table.large_vehicles(100)
+    split = windows.silver_telemetry(table.read(), keep=("seq",), rows_per_task=100, rows_per_run=500, large=large)
+    return shown(split, *SILVER_OUT)
+
+
 @query
 def silver_incremental_slice(spark, folder):
     rows = _bronze(spark, folder)

@@ -8,6 +8,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from motorlytics.operators import windows
 from motorlytics.plans.layers import bronze_from_messages
 from motorlytics.schemas import BRONZE_SCHEMA
 from motorlytics.sources import derived
@@ -108,3 +109,27 @@ def test_stream_into_the_table_with_merges_between_batches(spark, tmp_path):
     assert lines(table.read().select(*expected.columns)) == lines(expected)
     assert max(e.level for e in table.manifest.entries()) == 2 and len(table.manifest.entries()) <= 4
     assert bronze_table.FAN_IN == 8
+
+
+def test_counts_beside_the_rows(bronze_rows, spark, tmp_path):
+    """Counts follow batches that run again and merges; with them no job runs before silver is asked for."""
+    table = BronzeTable(spark, str(tmp_path), fan_in=2, counted=True, seq="long")
+    data = [("hot" if k % 3 == 0 else f"V{k % 7}", 9000.0 * k, {}, k) for k in range(60)]
+    for n in range(6):
+        table.add(bronze_rows(data[10 * n : 10 * n + 5]), n)  # fails halfway, say
+        table.add(bronze_rows(data[10 * n : 10 * n + 10]), n)
+        table.compact()
+    rows = table.read()
+    days = {(r[0], r[1]): r[2] for r in rows.groupBy("event_date", "vehicle_id").count().collect()}
+    assert {(r[0], r[1]): r[2] for r in table.daily_counts().groupBy("event_date", "vehicle_id").sum("readings").collect()} == days
+    assert table.large_vehicles(10) == windows.large_vehicles(rows, 10) == {"hot": 20}
+    assert table.large_vehicles(20) == {} and len(table.counts.entries()) < 6
+    large = table.large_vehicles(30)
+    spark.sparkContext.setJobGroup("silver", "silver")
+    try:
+        silver = windows.silver_telemetry(rows, keep=("seq",), rows_per_task=30, large=large)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("silver")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert silver.count() == 60
+    assert BronzeTable(spark, f"{tmp_path}/empty", counted=True).large_vehicles() == {}
