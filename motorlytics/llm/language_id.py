@@ -31,6 +31,8 @@ WINDOW = 32
 FEATURE_BITS = 15
 EPOCHS = 6
 KNOWN_WORDS = 300_000
+STRAND = 1024
+PRECISION = 1e-6
 SCORE_BYTES = 1 << 15
 # Up to this many labels have the sample, lexicon and windows above; with more of them each has a smaller share, so that the
 # driver's work follows the labels, but never less than the least. Every label is learned.
@@ -138,6 +140,60 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray) -> tup
     return both / both.sum(2, keepdims=True), forward, backward * own
 
 
+def reach(steps: np.ndarray, precision: float = PRECISION) -> int:
+    """After how many words the field has forgotten where it came from, to a relative error of ``precision``.
+
+    With d the largest difference of two rows' log ratios, a step brings any two vectors closer by tanh(d / 4) in Hilbert's
+    metric, whatever the words are, and no two are further apart than d after the first step.
+    """
+    far = max(float(np.ptp(steps - row, axis=1).max()) for row in steps)
+    closer = np.tanh(far / 4)
+    return 1 if far <= precision else 1 + max(1, int(np.ceil(np.log(precision / far) / np.log(min(closer, 1 - 1e-9)))))
+
+
+def whole_marginals(scores: np.ndarray, sizes: np.ndarray, steps: np.ndarray, strand: int = STRAND) -> np.ndarray:
+    """Each word's label probabilities by forward-backward over whole texts; ``scores`` has the words of all, ``sizes`` how many each has.
+
+    Texts of up to ``strand`` words go in one piece. Longer ones are cut into strands that also run over the words around
+    them, as many as the field remembers (``reach``), so transitions count across all cuts. Strands advance together, the
+    longest first, so that those which go on lie side by side at every step and nothing is padded.
+    """
+    lap = reach(steps)
+    strand = max(strand, 4 * lap)
+    cuts = -(-sizes // strand)
+    text = np.repeat(np.arange(len(sizes)), cuts)
+    begin = strand * (np.arange(len(text)) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+    end = np.minimum(begin + strand, sizes[text])
+    low, high = np.maximum(begin - lap, 0), np.minimum(end + lap, sizes[text])
+    order = np.argsort(low - high, kind="stable")
+    length, first = (high - low)[order], ((np.cumsum(sizes) - sizes)[text] + low)[order]
+    kept_from, kept_to = (begin - low)[order], (end - low)[order]
+    alive = np.cumsum(np.bincount(length)[::-1])[::-1][1:]
+    at = np.cumsum(alive) - alive
+    rank = np.repeat(np.arange(len(length)), length)
+    step = np.arange(len(rank)) - np.repeat(np.cumsum(length) - length, length)
+    place, word = at[step] + rank, first[rank] + step
+    own = np.empty((len(word), scores.shape[1]), scores.dtype)
+    own[place] = scores[word]
+    own = np.exp(own - own.max(1, keepdims=True))
+    moves = np.exp(steps - steps.max())
+    forward, backward = np.empty_like(own), np.ones_like(own)
+    forward[: alive[0]] = own[: alive[0]] / own[: alive[0]].sum(1, keepdims=True)
+    spans = list(zip(at[:-1].tolist(), at[1:].tolist(), alive[1:].tolist()))
+    for a, b, n in spans:
+        x = (forward[a : a + n] @ moves) * own[b : b + n]
+        forward[b : b + n] = x / x.sum(1, keepdims=True)
+    for a, b, n in reversed(spans):
+        x = (backward[b : b + n] * own[b : b + n]) @ moves.T
+        backward[a : a + n] = x / x.sum(1, keepdims=True)
+    both = forward * backward
+    both /= both.sum(1, keepdims=True)
+    kept = (step >= kept_from[rank]) & (step < kept_to[rank])
+    found = np.empty_like(scores)
+    found[word[kept]] = both[place[kept]]
+    return found
+
+
 def windows_of(samples: list[tuple[int, list[bytes]]], n: int, rng: np.random.Generator) -> list[tuple[list[bytes], np.ndarray]]:
     """Windows of words with their labels, the labels in turn; every second one goes on in a text of another label."""
     by_label: dict[int, list[list[bytes]]] = {}
@@ -265,8 +321,8 @@ def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon_words:
 def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (the label's share of the words), ``n_words``, ``shares`` (by label) and ``n_switches``.
 
-    ``und`` with score 0 if a text is null or has no letter, or without a field. Labels of words come from windows of WINDOW
-    words, each text cut from its start; all its words count, and words of unspaced scripts by their pieces (``n_words`` has them whole). Null ids and repeated rows stay; an empty table gives no rows.
+    ``und`` with score 0 if a text is null or has no letter, or without a field. Labels of words come from forward-backward over
+    the whole text; all its words count, and words of unspaced scripts by their pieces (``n_words`` has them whole). Null ids and repeated rows stay; an empty table gives no rows.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()),
                         ("shares", pa.list_(pa.float64())), ("n_switches", pa.int64())])
@@ -281,15 +337,7 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
             table[:] = [np.concatenate(table)]
         at = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
         sizes = np.array([len(t) for t in texts])
-        cuts = -(-sizes // WINDOW)
-        lengths = np.full(int(cuts.sum()), WINDOW)
-        lengths[np.cumsum(cuts) - 1] = sizes - (cuts - 1) * WINDOW
-        there = np.arange(WINDOW) < lengths[:, None]
-        place = np.zeros(there.shape, np.int64)
-        place[there] = at
-        scores = table[0][place]
-        scores[~there] = 0
-        found = marginals(scores, lengths, model.steps)[0][there]
+        found = whole_marginals(table[0][at], sizes, model.steps)
         owner = np.repeat(np.arange(len(texts)), sizes)
         labels = found.argmax(1)
         switches = np.bincount(owner[1:], (labels[1:] != labels[:-1]) & (owner[1:] == owner[:-1]), len(texts))
@@ -298,12 +346,13 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known, scores = {}, []
+        limit = (1 << 24) // max(8, len(model.langs)) if model else 1
         for rows in batches:
             texts = [words_of(t) if t and model else [] for t in rows.column(1).to_pylist()]
             out = [("und", 0.0, len(t), None, 0) for t in texts]
             pieces = [pieces_of(t) for t in texts]
             some = [i for i, t in enumerate(texts) if t]
-            for a, b in slices([b"x" * 8 * len(pieces[i]) for i in some], 1 << 21):
+            for a, b in slices([range(8 * len(pieces[i])) for i in some], limit):
                 if len(known) > KNOWN_WORDS:
                     known, scores = {}, []
                 shares, switches = of_texts(model, [pieces[i] for i in some[a:b]], known, scores)

@@ -259,6 +259,29 @@ def test_forward_backward_is_exact():
     assert np.allclose(found, total / total.sum(1, keepdims=True))
 
 
+def plain_marginals(scores, steps):
+    """One text by logarithms, word after word."""
+    forward, backward = [scores[0]], [np.zeros(scores.shape[1])]
+    for x in scores[1:]:
+        forward.append(x + np.logaddexp.reduce(forward[-1][:, None] + steps, 0))
+    for x in scores[:0:-1]:
+        backward.append(np.logaddexp.reduce(steps + x + backward[-1], 1))
+    both = np.array(forward) + np.array(backward[::-1])
+    return np.exp(both - np.logaddexp.reduce(both, 1, keepdims=True))
+
+
+def test_transitions_count_over_whole_texts():
+    rng = np.random.default_rng(4)
+    for spread in (0.0, 0.3, 1.0):
+        steps = (spread * (2 * np.eye(4) + rng.normal(size=(4, 4)))).astype(np.float32)
+        sizes = np.array([100, 1, 33, 2500, 7, 32, 900])
+        scores = rng.normal(size=(sizes.sum(), 4)).astype(np.float32)
+        scores[np.arange(len(scores)) % 40 > 2] = 0  # long stretches are decided by their neighbours alone
+        wanted = np.concatenate([plain_marginals(x.astype(float), steps.astype(float)) for x in np.split(scores, np.cumsum(sizes)[:-1])])
+        for strand in (1, 64, 1024, 5000):
+            assert np.allclose(language_id.whole_marginals(scores, sizes, steps, strand), wanted, atol=1e-4)
+
+
 def test_language_of_held_out_texts(spark, docs, none):
     rows = language_id.op4_language_id(spark, "/root/testdata/sf0.01").alias("p").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").collect()
