@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from motorlytics.operators.windows import ROWS_PER_TASK, large_by_counts
 from motorlytics.schemas import BRONZE_SCHEMA
+from motorlytics.sources.clustering import clustered
 from motorlytics.sources.manifest import Entry, Manifest
 from motorlytics.sources.tables import EVENT_DATE, laid_out, merge_by_key, with_event_date
 
@@ -31,10 +32,14 @@ class BronzeTable:
 
     With ``counted``, readings per day and vehicle are kept beside the rows, in batches and levels of their own, so that vehicles
     with very many are known without a count over all rows. A batch counts what it has just written, one column of it.
+
+    With ``interleaved``, merged folders are cut by day and by cells of vehicle and time instead (``clustered``). A vehicle's hour
+    still lies in few files, and so does an hour of all vehicles, which plain ranges spread over every file of its day.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA, fan_in: int = FAN_IN, *,
-                 counted: bool = False, **extra: str):
+                 counted: bool = False, interleaved: bool = False, **extra: str):
+        self.interleaved = interleaved
         self.manifest, self.fan_in = Manifest(spark, path), fan_in
         self.counts = Manifest(spark, f"{path.rstrip('/')}/counts") if counted else None
         self.schema = T.StructType(list(schema.fields))
@@ -88,7 +93,8 @@ class BronzeTable:
     def _merge(self, entries: list[Entry], level: int) -> None:
         rows = self.manifest.read(self.schema, entries)
         order = [EVENT_DATE, "vehicle_id", "timestamp"]
-        folder = self.manifest.write(rows.repartitionByRange(*order).sortWithinPartitions(*order), f"level-{level}", EVENT_DATE)
+        ranged = clustered(rows) if self.interleaved else rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        folder = self.manifest.write(ranged, f"level-{level}", EVENT_DATE)
         self._replace(self.manifest, entries, folder, level)
 
     def _merge_counts(self, entries: list[Entry], level: int) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +77,53 @@ def trips_in_slices(bronze: DataFrame, slice_seconds: int = SLICE_SECONDS) -> Da
     ).drop("session_window")
 
 
-def without_duplicates(bronze: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Each (vehicle, timestamp) once; state is forgotten after ``lateness``."""
-    return bronze.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])
+def without_duplicates(bronze: DataFrame, lateness: str = LATENESS, collapse: bool = False) -> DataFrame:
+    """Each (vehicle, timestamp) once; state is forgotten after ``lateness``.
+
+    With ``collapse``, copies are merged in every task before rows are shuffled, for streams in which one key may hold a large
+    share of a batch. It moves all rows through Arrow, so it costs more than it saves where copies are few.
+    """
+    keys = ["vehicle_id", "timestamp"]
+    rows = collapsed(bronze, keys) if collapse else bronze
+    return rows.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(keys)
+
+
+def collapsed(rows: DataFrame, keys: list[str], remembered: int = 100_000) -> DataFrame:
+    """``rows`` with fewer copies of each key, and at least one of every key; no shuffle.
+
+    Copies within an Arrow batch become the first of them. A key that had some is remembered by its task, and its later copies go
+    too; with more than ``remembered`` such keys the task starts anew, so its memory is bounded. A key with copies in every
+    batch thus leaves a task about once. What remains is for the stateful step that follows, so this never changes its
+    result. Nulls are equal to each other. On streams a micro-batch's partitions are the tasks.
+    """
+    kept = rows.columns
+    positions = [kept.index(k) for k in keys]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        repeated: set[tuple] = set()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            named = [f"k{i}" for i in range(len(positions))]
+            columns = [batch.column(p) for p in positions]
+            columns = [c.cast(pa.int64()) if pa.types.is_timestamp(c.type) else c for c in columns]
+            found = pa.table([*columns, pa.array(range(batch.num_rows), pa.int64())], names=[*named, "row"])
+            groups = found.group_by(named, use_threads=False).aggregate([("row", "min"), ("row", "count")])
+            first = groups.column("row_min").to_pylist()
+            copied = [i for i, n in enumerate(groups.column("row_count").to_pylist()) if n > 1]
+            if copied:
+                some = groups.take(copied)
+                gone = set()
+                for i, key in zip(copied, zip(*(some.column(name).to_pylist() for name in named))):
+                    if key in repeated:
+                        gone.add(i)
+                    else:
+                        if len(repeated) >= remembered:
+                            repeated.clear()
+                        repeated.add(key)
+                first = [row for i, row in enumerate(first) if i not in gone]
+            yield batch if len(first) == batch.num_rows else batch.take(pa.array(sorted(first), pa.int64()))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -388,6 +388,9 @@ SQL: dict[str, str] = {
         FROM breakdown GROUP BY ALL""",
     "stream_bronze": with_(*_DECODED, flagged("typed")) + f"SELECT seq, {_STORED} FROM bronze",
     "stream_bronze_table": with_(*_DECODED, flagged("typed")) + f"SELECT seq, {_STORED} FROM bronze",
+    "stream_bronze_interleaved": with_(*_DECODED, flagged("typed")) + f"""SELECT vehicle_id, date_trunc('hour', timestamp) AS hour,
+        count(*) AS readings, CAST(sum(anomaly_flag) AS BIGINT) AS anomalies, max(seq) AS last_seq
+        FROM (SELECT seq, {_STORED} FROM bronze) GROUP BY 1, 2""",
     "stream_quarantine": with_(*_DECODED) + """SELECT seq, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
     "stream_anomaly_series": with_(*_BRONZE) + f"""SELECT * FROM (
         SELECT {_BUCKET} AS time, CAST(sum(anomaly_flag) AS BIGINT) AS anomalies FROM bronze GROUP BY 1) w
@@ -398,4 +401,5 @@ SQL: dict[str, str] = {
         SELECT {_BUCKET} + to_seconds(10 * k) AS as_of, round(avg(anomaly_flag) * 100, 6) AS anomaly_rate_pct
         FROM bronze, range(1, 31) r(k) GROUP BY 1) w WHERE as_of <= {_WATERMARK}""",
     "stream_dedupe": with_(_READINGS) + "SELECT DISTINCT vehicle_id, timestamp FROM telemetry",
+    "stream_dedupe_hot_key": with_(_READINGS) + "SELECT DISTINCT vehicle_id, timestamp FROM telemetry",
 }

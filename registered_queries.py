@@ -593,6 +593,16 @@ def stream_bronze_table(spark, folder):
     return shown(table.read(), "seq", *BRONZE_COLUMNS)
 
 
+@query
+def stream_bronze_interleaved(spark, folder):
+    """The same with merged folders cut by vehicle and time at once; how many readings of each vehicle and hour lie in it."""
+    stream, root = _staged(spark, derived.messages(spark, folder), "stream-bronze", timed=False)
+    table = BronzeTable(spark, f"{root}/bronze", fan_in=2, interleaved=True, seq="long")
+    ingest.start_bronze_table(stream, table, f"{root}/quarantine", f"{root}/checkpoint", interval=None).awaitTermination()
+    hours = table.read().groupBy("vehicle_id", F.date_trunc("hour", "timestamp").alias("hour"))
+    return hours.agg(F.count(F.lit(1)).alias("readings"), F.sum("anomaly_flag").alias("anomalies"), F.max("seq").alias("last_seq"))
+
+
 @query
 def stream_quarantine(spark, folder):
     stream, root = _staged(spark, derived.messages(spark, folder), "stream-quarantine", timed=False)
@@ -625,6 +635,17 @@ def stream_dedupe(spark, folder):
     return shown(_drained(live.without_duplicates(stream), root), "vehicle_id", "timestamp")
 
 
+@query
+def stream_dedupe_hot_key(spark, folder):
+    """One key holds half of the input: every reading comes once, and the earliest again as often as there are readings."""
+    once = _bronze(spark, folder)
+    least = once.agg(F.min(F.struct(F.unix_micros("timestamp").alias("micros"), "vehicle_id")).alias("key")).first().key
+    copies = once.withColumn("timestamp", F.timestamp_micros(F.lit(least.micros if least else None).cast("long")))
+    copies = copies.withColumn("vehicle_id", F.lit(least.vehicle_id if least else None).cast("string"))
+    stream, root = _staged(spark, once.unionByName(copies), "stream-dedupe")
+    return shown(_drained(live.without_duplicates(stream, collapse=True), root), "vehicle_id", "timestamp")
+
+
 def _streamed_store(spark: SparkSession, folder: str) -> SilverStore:
     root = scratch_path(spark, "stream-silver")
     rows = _bronze(spark, folder)

@@ -132,3 +132,36 @@ def test_files_in_order_of_time_lose_nothing_over_many_batches(bronze_rows, spar
     for number, path in enumerate(reversed(names)):
         os.utime(path, (1_000_000 + number, 1_000_000 + number))
     assert late_drops(run("backward")) > 100
+
+
+def test_copies_are_merged_before_the_shuffle(spark, tmp_path):
+    """One key holds half of the input: what leaves the tasks is bounded by them, and the result is that without merging."""
+    hot = spark.range(30_000).select(F.lit("hot").alias("vehicle_id"), F.lit(at(5)).cast("timestamp").alias("timestamp"), F.col("id").alias("n"))
+    other = spark.range(30_000).select(F.format_string("v%d", F.col("id") % 50).alias("vehicle_id"),
+                                       F.timestamp_seconds(F.lit(int(at(0).timestamp())) + F.floor(F.col("id") / 50)).alias("timestamp"), (-F.col("id")).alias("n"))
+    hot.unionByName(other).orderBy(F.rand(3)).repartition(6).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    keys = ["vehicle_id", "timestamp"]
+    left = live.collapsed(rows, keys)
+    assert left.schema == rows.schema and left.filter("vehicle_id = 'hot'").count() <= 2 * rows.rdd.getNumPartitions()
+    assert left.filter("vehicle_id <> 'hot'").count() == 30_000
+    assert live.collapsed(rows, keys, remembered=0).select(keys).distinct().count() == 30_001
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{tmp_path}/in")
+    plan = live.without_duplicates(stream, collapse=True)
+    writer = plan.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True)
+    query = writer.start(f"{tmp_path}/o")
+    query.awaitTermination()
+    got = spark.read.schema(rows.schema).parquet(f"{tmp_path}/o")
+    assert got.count() == 30_001 == got.select(keys).distinct().count()
+    reached = sum(op["customMetrics"]["numDroppedDuplicateRows"] for p in query.recentProgress for op in p["stateOperators"])
+    assert reached <= 2 * 6  # of 30,000 copies
+
+
+def test_merging_copies_keeps_nulls_and_other_columns(spark):
+    rows = spark.createDataFrame(
+        [(None, None, [1]), (None, None, [2]), ("a", None, None), ("a", at(1), [3]), ("a", at(1), [3]), (None, at(1), [])] * 3,
+        "vehicle_id string, timestamp timestamp, k0 array<int>").coalesce(1)
+    got = live.collapsed(rows, ["vehicle_id", "timestamp"])
+    assert sorted(map(str, (tuple(r)[:2] for r in got.collect()))) == sorted(map(str, (tuple(r)[:2] for r in rows.limit(6).dropDuplicates(["vehicle_id", "timestamp"]).collect())))
+    assert got.filter("vehicle_id is null and timestamp is null").first().k0 == [1] and got.count() == 4
+    assert live.collapsed(rows.limit(0), ["vehicle_id"]).count() == 0 and live.collapsed(rows, ["timestamp", "vehicle_id"]).count() == 4
