@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from motorlytics.sources.clustering import cell, clustered, edges_of, interleaved
-from motorlytics.sources.tables import EVENT_DATE, with_event_date
+from motorlytics.sources.tables import EVENT_DATE, with_event_date, write_telemetry
 from motorlytics.streaming.bronze_table import BronzeTable
 
 START = 1_704_067_200  # a midnight
@@ -44,13 +44,6 @@ def read_by(folder, vehicle=None, hour=None):
     return len(files), sum(map(admits, files))
 
 
-@pytest.fixture
-def typed_times(spark):
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-    yield
-    spark.conf.unset("spark.sql.parquet.outputTimestampType")
-
-
 def test_bits_in_turn(spark):
     got = spark.range(64).select(interleaved(F.shiftright("id", 3).cast("int"), F.col("id").bitwiseAND(F.lit(7)).cast("int"), 3).alias("z"), "id").collect()
     for row in got:
@@ -69,7 +62,7 @@ def test_edges_and_cells(spark):
 
 
 @pytest.mark.parametrize("hot", [0, 30])
-def test_lookups_by_vehicle_and_by_hour_read_few_files(spark, tmp_path, typed_times, hot):
+def test_lookups_by_vehicle_and_by_hour_read_few_files(spark, tmp_path, hot):
     rows = readings(spark, hot=hot)
     order = [EVENT_DATE, "vehicle_id", "timestamp"]
     layouts = {"cells": clustered(rows, files=64), "ranges": rows.repartitionByRange(64, *order).sortWithinPartitions(*order)}
@@ -93,3 +86,11 @@ def test_interleaved_bronze_has_the_same_rows(bronze_rows, spark, tmp_path):
         table.compact()
     assert sorted(r.seq for r in table.read().select("seq").collect()) == list(range(61))
     assert max(e.level for e in table.manifest.entries()) >= 2
+
+
+def test_stored_bronze_has_statistics_of_time(bronze_rows, tmp_path):
+    write_telemetry(bronze_rows([(f"V{k % 3}", 60.0 * k) for k in range(40)]), f"{tmp_path}/b")
+    for path in glob.glob(f"{tmp_path}/b/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(path).metadata
+        stats = meta.row_group(0).column(meta.schema.names.index("timestamp")).statistics
+        assert stats.has_min_max and isinstance(stats.max, dt.datetime)
