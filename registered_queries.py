@@ -652,7 +652,7 @@ def _streamed_store(spark: SparkSession, folder: str) -> SilverStore:
     (rows.repartitionByRange("timestamp").sortWithinPartitions("timestamp")
      .write.option("maxRecordsPerFile", READINGS_PER_BATCH).parquet(f"{root}/input"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/input")
-    store = SilverStore(spark, f"{root}/silver", snapshot_every=3, buckets=8)
+    store = SilverStore(spark, f"{root}/silver", snapshot_every=3, buckets=8, fan_in=3)
     store.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
     return store
 
