@@ -8,6 +8,7 @@ import pytest
 import tiktoken  # noqa: F401
 import xxhash
 from compare import difference, duck
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -64,3 +65,20 @@ def test_stages_keep_the_columns_of_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SMALL).columns == docs.columns
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_on_nulls_empty_texts_and_repeated_rows(spark):
+    """A column named like the secret scan's own, null ids and texts, and a row that comes twice."""
+    body = " ".join(f"the w{k} of" for k in range(40))
+    rows = [(1, body, "x"), (1, body, "x"), (2, None, "y"), (3, "", "z"), (None, body, "n"), (4, f"{body} password = abcdefgh12345678", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, secrets string").withColumn("n_chars", F.length("text").cast("long"))
+    stage = {name: lambda d, f=f: f(spark, d, SMALL) for name, f in corpus_pipeline.STAGES}
+    ids = lambda d: sorted((r.doc_id for r in d.collect()), key=lambda i: (i is None, i))
+    assert ids(stage["quality"](docs)) == [1, 1, 4, None]
+    assert ids(stage["near_dedup"](docs)) in ([1, 2], [1, 2, 4])  # 2 and 3 are equal, and so are 1 and the row without id
+    assert ids(stage["decontamination"](docs)) == [1, 1, 2, 3, 4, None]
+    clean = {r.secrets: r for r in stage["secrets"](docs).collect()}
+    assert clean["y"].text is None and clean["z"].text == "" and clean["n"].text == body
+    assert "abcdefgh12345678" not in clean["s"].text and clean["s"].n_chars == len(clean["s"].text)
+    tokens = [(r.doc_id, r.n_tokens) for r in stage["tokens"](docs).collect()]
+    assert len(tokens) == 6 and {i for i, n in tokens if n == 0} == {2, 3}
