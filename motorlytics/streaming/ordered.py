@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+STATE_ROWS_PER_TASK = 50_000
 
 
 def stage_in_order(rows: DataFrame, folder: str, time_column: str = "timestamp", rows_per_file: int = 1_000_000,
@@ -29,6 +31,25 @@ def stage_in_order(rows: DataFrame, folder: str, time_column: str = "timestamp",
     return len(parts)
 
 
+def state_partitions(spark: SparkSession, rows_per_batch: int) -> int:
+    """Into how many partitions the state of a stream with batches of bounded size is cut: a task per core, more if a batch would give
+    them over ``STATE_ROWS_PER_TASK`` rows each, and never more than the session's setting, which is sized for whole tables."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows_per_batch // STATE_ROWS_PER_TASK))
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def start_sized(writer: DataStreamWriter, path: str, rows_per_batch: int, spark: SparkSession) -> StreamingQuery:
+    """Start a stream with ``state_partitions``. A query keeps the number that its session has when it starts, and every batch runs that
+    many tasks per stateful step, each of which reports to the driver. The session's setting is put back."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(state_partitions(spark, rows_per_batch)))
+    try:
+        return writer.start(path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def late_drops(query: StreamingQuery) -> int:
     """How many rows the watermark has shut out so far, over the batches the query still reports."""
     return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress for op in batch["stateOperators"])

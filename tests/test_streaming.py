@@ -12,7 +12,7 @@ from motorlytics.plans.layers import bronze_from_messages, bronze_from_readings
 from motorlytics.sources import derived
 from motorlytics.sources.messages import decode_messages, quarantined
 from motorlytics.streaming import ingest, live
-from motorlytics.streaming.ordered import batches, late_drops, stage_in_order
+from motorlytics.streaming.ordered import batches, late_drops, stage_in_order, start_sized, state_partitions
 from motorlytics.streaming.refresh import SilverStore
 
 
@@ -165,3 +165,25 @@ def test_merging_copies_keeps_nulls_and_other_columns(spark):
     assert sorted(map(str, (tuple(r)[:2] for r in got.collect()))) == sorted(map(str, (tuple(r)[:2] for r in rows.limit(6).dropDuplicates(["vehicle_id", "timestamp"]).collect())))
     assert got.filter("vehicle_id is null and timestamp is null").first().k0 == [1] and got.count() == 4
     assert live.collapsed(rows.limit(0), ["vehicle_id"]).count() == 0 and live.collapsed(rows, ["timestamp", "vehicle_id"]).count() == 4
+
+
+def test_state_is_cut_by_the_size_of_a_batch_not_of_the_table(bronze_rows, spark, tmp_path):
+    rows = bronze_rows([("AB"[k % 2], 17.0 * k, dict(anomaly_flag=k % 2), k) for k in range(600)])
+    stage_in_order(rows, f"{tmp_path}/in", rows_per_file=200, partitions=1)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        assert state_partitions(spark, 200) == spark.sparkContext.defaultParallelism and state_partitions(spark, 10**9) == 300
+        writer = live.live_anomaly_series(stream).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
+        query = start_sized(writer.trigger(availableNow=True), f"{tmp_path}/o", 200, spark)
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        assert state_partitions(spark, 200) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    steps = [op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert batches(query) == 3 and set(steps) == {spark.sparkContext.defaultParallelism}
+    expected = live.live_anomaly_series(rows).filter(closed_by(rows, F.col("time") + F.expr("INTERVAL 10 SECONDS")))
+    assert lines(spark.read.parquet(f"{tmp_path}/o")) == lines(expected)
