@@ -1,12 +1,14 @@
 """Silver features: frames, sessions, first rows, and histories cut into runs."""
 
 import random
+from collections import Counter
 
 import pytest
 from brute import same, silver as brute_silver
 from conftest import at
 from pyspark.sql import functions as F
 
+from motorlytics.operators.runs import RUN, in_runs
 from motorlytics.operators.windows import latest_state, sessions, silver_telemetry
 from motorlytics.schemas import SILVER_COLUMNS
 
@@ -102,3 +104,19 @@ def test_trips(bronze_rows):
     assert set(got) == {("A", 1), ("A", 2), ("B", 1)}
     assert (got["A", 1]["readings"], got["A", 1]["anomalies"]) == (2, 1)
     assert got["A", 1]["ended_at"] == at(100).replace(tzinfo=None)
+
+
+def test_short_runs_share_partitions(spark, bronze_rows):
+    """Three hundred runs of ten rows: files follow the rows, and runs are whole, bounded and in order of (vehicle, time)."""
+    data = [("AB"[k % 2], 60.0 * (k // 4), {}, k) for k in range(3000)]
+    stored = in_runs(bronze_rows(data[::-1]).repartition(5), ["vehicle_id"], ["timestamp", "seq"], 3000, 10)
+    assert len(stored.inputFiles()) <= spark.sparkContext.defaultParallelism
+    rows = sorted((r["vehicle_id"], r["timestamp"], r["seq"], r[RUN]) for r in stored.collect())
+    assert len(rows) == 3000 and [r[3] for r in rows] == sorted(r[3] for r in rows)
+    sizes = Counter(r[3] for r in rows)
+    assert max(sizes.values()) <= 10 and 300 <= len(sizes) <= 300 + spark.sparkContext.defaultParallelism
+
+
+def test_copies_of_one_row_spread_over_runs(spark, bronze_rows):
+    stored = in_runs(bronze_rows([("A", 0, {}, 1)] * 500), ["vehicle_id"], ["timestamp", "seq"], 500, 20)
+    assert max(r["count"] for r in stored.groupBy(RUN).count().collect()) <= 20
