@@ -71,13 +71,15 @@ def publish(df: DataFrame, view: str, path: str, order: str = "vehicle_id") -> N
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{target}`")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input of few files as many partitions as there are cores before heavy work on each row.
+def spread(df: DataFrame, least: int = 0) -> DataFrame:
+    """Give an input of few files as many partitions as there are cores (or ``least``) before heavy work on each row.
 
     Input that already has that many stays as it is, so large tables are not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, least)
+    if df.isStreaming:  # a batch's files are not known yet
+        return df.repartition(wanted)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def is_empty(df: DataFrame) -> bool:

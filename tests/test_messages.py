@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from motorlytics.operators.readings import bronze, flatten
 from motorlytics.schemas import BRONZE_COLUMNS, OBD_FIELDS
-from motorlytics.sources import messages as m
+from motorlytics.sources import derived, messages as m
 
 OBD = dict(rpm=800, speed=0.0, throttle_position=0.0, coolant_temp=90.0, battery_voltage=14.0, maf=5.0, fuel_level=100.0)
 GOOD = dict(timestamp="2026-02-22T12:00:00Z", vehicle_id="TEST_001", vehicle_model="Maruti Suzuki Swift",
@@ -152,3 +152,21 @@ def test_iso_forms_of_time(spark):
     rows = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, e string")
     got = rows.select("t", "e", F.date_format(parse_instant(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("g")).collect()
     assert [(r.t, r.g) for r in got] == [(r.t, r.e) for r in got]
+
+
+def events_at(spark, path, n):
+    """A table of one file, as the given tables are."""
+    rows = spark.range(n).select(F.col("id").alias("event_id"), F.expr("timestamp_seconds(1704067200 + id * 97)").alias("ts"),
+                                 (F.col("id") % 7).alias("user_id"), F.col("id").cast("double").alias("value"))
+    rows.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_partitions_of_messages_follow_their_rows(spark, tmp_path, monkeypatch):
+    folder = events_at(spark, tmp_path, 2000)
+    monkeypatch.setattr(derived, "MESSAGES_PER_TASK", 100)
+    found = derived.messages(spark, folder)
+    assert found.rdd.getNumPartitions() == 20
+    assert sorted(r.seq for r in found.select("seq").collect()) == list(range(2000))
+    monkeypatch.setattr(derived, "MESSAGES_PER_TASK", 2000)
+    assert derived.messages(spark, folder).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
