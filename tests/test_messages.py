@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from motorlytics.operators.readings import bronze, flatten
+from motorlytics.plans.layers import bronze_from_messages
 from motorlytics.schemas import BRONZE_COLUMNS, OBD_FIELDS
 from motorlytics.sources import derived, messages as m
+from motorlytics.streaming import ingest
+from motorlytics.streaming.bronze_table import BronzeTable
 
 OBD = dict(rpm=800, speed=0.0, throttle_position=0.0, coolant_temp=90.0, battery_voltage=14.0, maf=5.0, fuel_level=100.0)
 GOOD = dict(timestamp="2026-02-22T12:00:00Z", vehicle_id="TEST_001", vehicle_model="Maruti Suzuki Swift",
@@ -170,3 +173,21 @@ def test_partitions_of_messages_follow_their_rows(spark, tmp_path, monkeypatch):
     assert sorted(r.seq for r in found.select("seq").collect()) == list(range(2000))
     monkeypatch.setattr(derived, "MESSAGES_PER_TASK", 2000)
     assert derived.messages(spark, folder).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_a_batch_of_one_file_is_decoded_on_all_cores(spark, tmp_path):
+    derived.messages(spark, events_at(spark, tmp_path, 1000)).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    source = lambda: spark.readStream.schema(stored.schema).parquet(f"{tmp_path}/in")
+    ingest.start_bronze(source(), f"{tmp_path}/b", f"{tmp_path}/q", f"{tmp_path}/c", None).awaitTermination()
+    bronze = spark.read.parquet(f"{tmp_path}/b")
+    assert len(bronze.inputFiles()) >= spark.sparkContext.defaultParallelism
+    expected = bronze_from_messages(stored)
+    assert sorted(map(str, bronze.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
+    table = BronzeTable(spark, f"{tmp_path}/t", seq="long")
+    ingest.start_bronze_table(source(), table, f"{tmp_path}/tq", f"{tmp_path}/tc", None).awaitTermination()
+    assert len(table.read().inputFiles()) >= spark.sparkContext.defaultParallelism and table.read().count() == bronze.count()
+    writer = ingest.rejected_stream(source()).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/rc")
+    writer.trigger(availableNow=True).start(f"{tmp_path}/r").awaitTermination()
+    rejected = spark.read.parquet(f"{tmp_path}/r")
+    assert rejected.count() == 1000 - bronze.count() and rejected.select(F.input_file_name()).distinct().count() > 1
