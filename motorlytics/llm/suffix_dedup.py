@@ -12,6 +12,7 @@ compared as 128-bit hashes, which Spark counts before it shuffles them.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ LENGTH = 400
 GRAM = 32
 SHARD_BYTES = 1 << 20
 HOT_SNIPPETS = 2_000
+ZONES = 8
 SCAN_BYTES = 1 << 20
 
 _BYTE = np.random.default_rng(20240).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,15 +100,44 @@ def snippets(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, _KEY)
 
 
-def repeated_in_shard(texts: list[bytes], copies: list[int], length: int) -> list[np.ndarray]:
+def likely(keys: list[int], texts: list[bytes], length: int) -> list[tuple[int, int]]:
+    """For each snippet the range of its strings outside of which none is repeated, by what surrounds the anchors.
+
+    Strings with the anchor in about the same place (one of ``ZONES``) share all but a few of their bytes, from which
+    those bytes follow. If no other snippet has the same ones there, none of these strings has a copy. So this only rules out.
+    """
+    raw = np.frombuffer(b"\xff".join(texts) + bytes(GRAM), np.uint8)
+    hashes = gram_hashes(raw).view(np.int64)
+    width = -(-(length - GRAM + 1) // ZONES)
+    zones, times, begin = [], Counter(), 0
+    for key, text in zip(keys, texts):
+        n = len(text) - length + 1
+        shared = hashes[begin + n - 1 : begin + length - GRAM + 1] == key  # in the bytes that all strings have
+        anchor = n - 1 + int(shared.argmax())
+        zones.append([(z, anchor, (key, z, text[anchor - z * width : anchor - (z + 1) * width + 1 + length]))
+                      for z in range((anchor - n + 1) // width, anchor // width + 1)])
+        times.update(bytes_there for _, _, bytes_there in zones[-1])
+        begin += len(text) + 1
+    ranges = []
+    for text, mine in zip(texts, zones):
+        again = [(anchor - (z + 1) * width + 1, anchor - z * width + 1) for z, anchor, there in mine if times[there] > 1]
+        n = len(text) - length + 1
+        ranges.append((max(0, again[-1][0]), min(n, again[0][1])) if again else (0, 0))
+    return ranges
+
+
+def repeated_in_shard(keys: list[int], texts: list[bytes], copies: list[int], length: int) -> list[np.ndarray]:
     """For each snippet, a bool per string: whether it occurs elsewhere. Texts are UTF-8, so 0xFF divides them."""
-    raw = np.frombuffer(b"".join(t + b"\xff" for t in texts), np.uint8)
+    ranges = likely(keys, texts, length)
+    parts = [t[a : b + length - 1] + b"\xff" if a < b else b"" for t, (a, b) in zip(texts, ranges)]
+    raw = np.frombuffer(b"".join(parts), np.uint8)
     shared, before = common_prefixes(raw, suffix_array(raw))
     again = shared >= length
     again[before[again]] = True
-    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return [np.ones(len(t) - length + 1, bool) if c > 1 else again[p : p + len(t) - length + 1]
-            for t, c, p in zip(texts, copies, begins.tolist())]
+    marks = [np.full(len(t) - length + 1, c > 1) for t, c in zip(texts, copies)]
+    for mark, (a, b), p in zip(marks, ranges, np.cumsum([0, *map(len, parts)]).tolist()):
+        mark[a:b] |= again[p : p + b - a]
+    return marks
 
 
 def runs(flags: np.ndarray) -> list[dict[str, int]]:
@@ -123,7 +154,7 @@ def sharded(found: DataFrame, length: int, shard_bytes: int = SHARD_BYTES) -> Da
     """Repeated strings among snippets that share an anchor. ``found``: anchor, digest, copies, snippet."""
 
     def shard(rows: pa.Table) -> pa.RecordBatch:
-        marks = repeated_in_shard(as_bytes(rows.column("snippet")), rows.column("copies").to_pylist(), length)
+        marks = repeated_in_shard(rows.column("anchor").to_pylist(), as_bytes(rows.column("snippet")), rows.column("copies").to_pylist(), length)
         return batch(_RUNS, [rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), [runs(m) for m in marks]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -522,6 +522,45 @@ def test_repeated_strings(docs, none, hot):
     assert suffix_dedup.without_repeats(none).count() == 0
 
 
+def test_passages_are_judged_by_bytes_not_words(spark):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("bcdfgklmnprst") for _ in range(n))
+    own = lambda: " ".join(word(6) for _ in range(80))
+    long = " ".join(word(7) for _ in range(51))  # 407 bytes
+    short = " ".join(word(6) for _ in range(51))  # 356 bytes: under 400, so by contract it stays
+    texts = [f"{own()}0{long}0{own()}", f"{own()}1{long}1{own()}", f"{own()}2{short}2{own()}", f"{own()}3{short}3{own()}", own(), own()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.without_repeats(docs).collect()}
+    for i, text in enumerate(texts):
+        assert bytes(got[i].kept).decode() == text.replace(long, "") and len(got[i].spans) == (i < 2)
+
+
+def test_shards_sort_only_what_may_be_repeated(monkeypatch):
+    rng = random.Random(13)
+    noise = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    common, passage = noise(60), noise(390)
+    raw = [noise(900) + common + noise(900) for _ in range(20)]
+    raw += [noise(300) + b"x" + passage + common + passage[::-1] + b"y" + noise(300) for _ in range(2)]
+    raw += [raw[0][:1300], b"z" * 900]
+    found: dict[int, dict[bytes, int]] = {}
+    owner, first, n, hashes = suffix_dedup.anchors(raw, 400)
+    for o, f, k, h in zip(owner.tolist(), first.tolist(), n.tolist(), hashes.view(np.int64).tolist()):
+        text = raw[o][f : f + k + 399]
+        found.setdefault(h, {})[text] = found.get(h, {}).get(text, 0) + 1
+    rows = [(h, text, times) for h, group in sorted(found.items()) if sum(group.values()) > 1 for text, times in group.items()]
+    keys, texts, copies = (list(x) for x in zip(*rows))
+    seen = collections.Counter()
+    for text, times in zip(texts, copies):
+        for p in range(len(text) - 399):
+            seen[text[p : p + 400]] += times
+    sizes, sort = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda r: sizes.append(len(r)) or sort(r))
+    got = suffix_dedup.repeated_in_shard(keys, texts, copies, 400)
+    assert [m.tolist() for m in got] == [[seen[t[p : p + 400]] > 1 for p in range(len(t) - 399)] for t in texts]
+    assert any(m.any() and not m.all() for m in got)
+    assert sum(sizes) < 0.6 * sum(map(len, texts))
+
+
 def test_suffix_arrays_and_prefixes():
     rng = random.Random(3)
     for _ in range(150):
