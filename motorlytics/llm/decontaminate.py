@@ -61,12 +61,13 @@ def stirred(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], fold: bytes = _FOLD) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word of the texts (A-Z lower-cased; letters, digits and non-ASCII), and the words per text.
 
-    Words are polynomials of their bytes, read off prefix sums, so the work is a few passes over the bytes.
+    Words are polynomials of their bytes, read off prefix sums, so the work is a few passes over the bytes. Another ``fold``
+    says what each byte counts as: 32 divides words, and no byte may become 0.
     """
-    raw = np.frombuffer((b" ".join(texts) + b" ").translate(_FOLD), np.uint8)
+    raw = np.frombuffer((b" ".join(texts) + b" ").translate(fold), np.uint8)
     inside = raw != 32
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)

@@ -535,6 +535,41 @@ def test_passages_are_judged_by_bytes_not_words(spark):
         assert bytes(got[i].kept).decode() == text.replace(long, "") and len(got[i].spans) == (i < 2)
 
 
+@pytest.mark.parametrize("hot, words", [(2000, 51), (2000, 9), (1, 9)])
+def test_passages_that_documents_share(spark, docs, hot, words):
+    rng = random.Random(14)
+    base = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(400)]
+    cut = lambda a, b, gap="\n": gap.join(base[a:b])
+    more = [(90, cut(0, 200)), (91, cut(150, 260) + " x " + cut(20, 90, " \t")), (92, cut(240, 300) + " y\x00 " + cut(60, 100)),
+            (93, cut(300, 360) + " z " + cut(300, 360)), (None, cut(330, 400)), (None, cut(330, 400)), (90, cut(300, 320))]
+    rows = TEXTS + more
+    split = [(i, [w for w in re.split(SPACE, t or "") if w]) for i, t in rows]
+    seen = collections.defaultdict(set)
+    for i, w in split:
+        for p in range(len(w) - words + 1):
+            seen[tuple(w[p : p + words])].add(i)
+    expected = []
+    for i, w in split:
+        shared = {q for p in range(len(w) - words + 1) if len(seen[tuple(w[p : p + words])]) > 1 for q in range(p, p + words)}
+        expected.append((i, str([[a, next(b for b in range(a, len(w) + 1) if b not in shared)] for a in sorted(shared) if a - 1 not in shared])))
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = suffix_dedup.without_repeats(table, hot=hot, words=words).collect()
+    assert collections.Counter((r.doc_id, str([[p.start, p.end] for p in r.passages or ()])) for r in got) == collections.Counter(expected)
+    assert sum(e != "[]" for _, e in expected) > 5
+
+
+def test_planted_passages_are_reported(spark, tmp_path):
+    rng = random.Random(15)
+    own = lambda n=90: " ".join("".join(rng.choice("bcdfgklmnprst") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    planted, known, twice = own(51), own(50), own(51)
+    assert len(planted) < 400
+    texts = [f"{own()} {planted} {own()}", f"{planted}\n{own()}", f"{own()} {known} {own()}", f"{known} {own()}", f"{twice} {own()} {twice}", own(), "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = suffix_dedup.op9_suffix_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_passage_words for r in rows} == {i: 51 * (i < 2) for i in range(8)}
+    assert all(r.n_removed == 0 for r in rows)
+
+
 def test_shards_sort_only_what_may_be_repeated(monkeypatch):
     rng = random.Random(13)
     noise = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
