@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from motorlytics.operators.windows import ROWS_PER_TASK, large_by_counts
 from motorlytics.schemas import BRONZE_SCHEMA
 from motorlytics.sources.clustering import clustered
-from motorlytics.sources.manifest import Entry, Manifest
+from motorlytics.sources.manifest import Entry, Manifest, cascade
 from motorlytics.sources.tables import EVENT_DATE, laid_out, merge_by_key, with_event_date
 
 FAN_IN = 8
@@ -27,7 +27,7 @@ class BronzeTable:
     """Rows of batches. A batch that runs again replaces itself, also after other batches were merged.
 
     When ``fan_in`` folders of a level have gathered, they become one of the next level: few files, cut by ranges of day,
-    vehicle and time, so that a vehicle's hour lies in few of them. A row is rewritten once per level, and a table of n
+    vehicle and time, so that a vehicle's hour lies in few of them. A row is rewritten once per level at most, and a table of n
     batches has about ``fan_in`` * log(n) live folders. The newest batch is never merged, since it may come again.
 
     With ``counted``, readings per day and vehicle are kept beside the rows, in batches and levels of their own, so that vehicles
@@ -69,26 +69,23 @@ class BronzeTable:
         """``large`` for ``silver_telemetry`` from the counts alone."""
         return large_by_counts(self.daily_counts(), rows_per_task)
 
-    def compact(self) -> int:
-        """Merge levels that are full, lowest first; the number of folders of rows merged."""
+    def compact(self, before_batch: int | None = None) -> int:
+        """Merge levels that are full, lowest first; the number of folders of rows merged. Only folders of batches before the newest
+        one are merged, or before ``before_batch``, which may be added at the same time."""
         if self.counts:
-            self._compact(self.counts, self._merge_counts)
-        return self._compact(self.manifest, self._merge)
+            self._compact(self.counts, self._merge_counts, before_batch)
+        return self._compact(self.manifest, self._merge, before_batch)
 
-    def _compact(self, manifest: Manifest, merge) -> int:
+    def _compact(self, manifest: Manifest, merge, before_batch: int | None) -> int:
         merged = 0
         while True:
             entries = manifest.entries()
-            newest = max((e.batch for e in entries), default=-1)
-            ready: dict[int, list[Entry]] = {}
-            for e in sorted(entries, key=lambda e: e.batch):
-                if e.batch != newest:
-                    ready.setdefault(e.level, []).append(e)
-            full = [level for level, found in sorted(ready.items()) if len(found) >= self.fan_in]
-            if not full:
+            bound = max((e.batch for e in entries), default=-1) if before_batch is None else before_batch
+            found, level = cascade([e for e in entries if e.batch < bound], self.fan_in)
+            if not found:
                 return merged
-            merge(ready[full[0]], full[0] + 1)
-            merged += len(ready[full[0]])
+            merge(found, level)
+            merged += len(found)
 
     def _merge(self, entries: list[Entry], level: int) -> None:
         rows = self.manifest.read(self.schema, entries)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import SMALL
@@ -133,3 +135,41 @@ def test_counts_beside_the_rows(bronze_rows, spark, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert silver.count() == 60
     assert BronzeTable(spark, f"{tmp_path}/empty", counted=True).large_vehicles() == {}
+
+
+def test_levels_that_fill_each_other_are_written_once(bronze_rows, spark, tmp_path, monkeypatch):
+    table, written = BronzeTable(spark, str(tmp_path), fan_in=2, seq="long"), []
+    write = table.manifest.write
+    monkeypatch.setattr(table.manifest, "write", lambda rows, label, by: written.append(label) or write(rows, label, by))
+    for n in range(8):
+        table.add(bronze_rows([("A", 10 * n, {}, n)]), n)
+        table.compact(n)  # a batch's own folder is not merged, whatever else is listed
+    table.compact(8)
+    assert [(e.level, e.batch) for e in table.manifest.entries()] == [(3, 7)]
+    assert [label for label in written if label.startswith("level")] == ["level-1", "level-2", "level-1", "level-3"]
+    assert sorted(r.seq for r in table.read().select("seq").collect()) == list(range(8))
+
+
+def test_bronze_is_merged_while_a_batch_is_added(spark, tmp_path, monkeypatch):
+    messages = derived.messages(spark, SMALL).limit(300)
+    messages.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", "1").parquet(f"{tmp_path}/in")
+    table = BronzeTable(spark, f"{tmp_path}/bronze", fan_in=2, seq="long")
+    met, add, compact = threading.Barrier(2, timeout=120), table.add, table.compact
+    monkeypatch.setattr(table, "add", lambda *args: (met.wait(), add(*args)))
+    monkeypatch.setattr(table, "compact", lambda *args: (met.wait(), compact(*args)))
+    ingest.start_bronze_table(stream, table, f"{tmp_path}/q", f"{tmp_path}/c", None).awaitTermination()
+    expected = bronze_from_messages(spark.read.parquet(f"{tmp_path}/in"))
+    assert lines(table.read().select(*expected.columns)) == lines(expected)
+    assert sorted((e.level, e.batch) for e in table.manifest.entries()) == [(0, 2), (1, 1)]
+
+
+def test_threads_that_share_a_list_take_turns(spark, tmp_path):
+    table = Manifest(spark, str(tmp_path))
+
+    def add(k):
+        table.commit(lambda now: [*now, Entry(f"data/_folder={k}", k)])
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(add, range(24)))
+    assert {e.batch for e in table.entries()} == set(range(24)) and table.version() == 24
